@@ -25,7 +25,7 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 RULES = (
     ("min_words", "n_words < 50"),
     ("repeated_windows", "100 * n_repeat_words > 50 * n_words"),
-    ("symbols", "10 * n_symbols > 3 * n_words"),
+    ("symbols", "10 * n_symbols > n_words"),
     ("duplicate_lines", "n_lines >= 4 and 2 * n_dup_lines > n_lines"),
     ("exclaimed_words", "5 * n_exclaimed > 2 * n_words"),
     ("upper_case", "2 * n_upper > word_chars"),
