@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,3 +47,45 @@ def local_components(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         while not np.array_equal(label, flat := label[label]):
             label = flat
     return label
+
+
+def deal(rows: DataFrame, keys: list[str], by: str, most: int) -> DataFrame:
+    """rows dealt out by group, with p, q and side, so that every two rows of a group meet in one task and no task has many.
+
+    A group of up to ``most`` rows is one task: p = q = 0, side -1. A larger one is cut by the hash of column ``by`` into sub-blocks of
+    about ``most``; sub-blocks p and q meet in a task of their own, as sides 0 and 1, and each with itself as side -1.
+    """
+    large = durable(rows.groupBy(*keys).count().where(F.col("count") > most))
+    if large.isEmpty():
+        out = rows.withColumns({"p": F.lit(0), "q": F.lit(0), "side": F.lit(-1).cast("byte")})
+    else:
+        cut = rows.join(large.withColumn("__m", F.ceil(F.col("count") / most).cast("int")).drop("count"), keys, "left").withColumn("__m", F.coalesce("__m", F.lit(1)))
+        cut = cut.withColumn("__s", F.pmod(F.xxhash64(by), F.col("__m")).cast("int"))
+        other = F.transform(F.sequence(F.lit(0), F.col("__m") - 1), lambda u: F.struct(F.least("__s", u).alias("p"), F.greatest("__s", u).alias("q"), F.when(u == F.col("__s"), -1).when(u < F.col("__s"), 1).otherwise(0).cast("byte").alias("side")))
+        out = cut.withColumn("__o", F.explode(other)).select(*rows.columns, "__o.*")
+    return out.repartition(*keys, "p", "q").sortWithinPartitions(*keys, "p", "q", by)
+
+
+def by_group(batches, keys: list[str], work):
+    """Apply work to the rows of whole groups, from batches sorted by the keys; several small groups may come in one call."""
+    held = None
+    for batch in batches:
+        held = batch if held is None else pd.concat([held, batch], ignore_index=True)
+        last = np.ones(len(held), bool)
+        for k in keys:
+            last &= (held[k] == held[k].iloc[-1]).to_numpy()
+        done = len(held) - (len(held) if last.all() else int(last[::-1].argmin()))
+        if done:
+            yield work(held.iloc[:done].reset_index(drop=True))
+            held = held.iloc[done:].reset_index(drop=True)
+    if held is not None and len(held):
+        yield work(held)
+
+
+def group_numbers(rows: pd.DataFrame, keys: list[str]) -> np.ndarray:
+    """0, 1, ... for each run of equal keys."""
+    differ = np.zeros(len(rows), bool)
+    for k in keys:
+        v = rows[k].to_numpy()
+        differ[1:] |= v[1:] != v[:-1]
+    return np.cumsum(differ)

@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spindrel.llm.common import durable, local_components
+from spindrel.llm.common import by_group, deal, durable, group_numbers, local_components
 from spindrel.llm.graph import components
 
 SHINGLE = 4
@@ -165,39 +165,14 @@ def links(fps: DataFrame, radius: int = RADIUS, sub_block: int = SUB_BLOCK, mask
     signed = lambda m: m - (1 << 64) if m >> 63 else m
     keys = F.array(*[F.struct(F.lit(k).cast("short").alias("t"), F.col("fp").bitwiseAND(F.lit(signed(m)).cast("long")).alias("key")) for k, m in enumerate(masks)])
     rows = fps.select("fp", F.explode(keys).alias("x")).select("x.t", "x.key", "fp")
-    large = durable(rows.groupBy("t", "key").count().where(F.col("count") > sub_block))
-    if large.isEmpty():
-        dealt = rows.select("t", "key", F.lit(0).alias("p"), F.lit(0).alias("q"), F.lit(-1).cast("byte").alias("side"), "fp")
-    else:
-        # sub-block s of m meets every other one: its rows go to the tasks (s, s) and, as one side, (s, u) and (u, s)
-        cut = rows.join(large.withColumn("m", F.ceil(F.col("count") / sub_block).cast("int")), ["t", "key"], "left").withColumn("m", F.coalesce("m", F.lit(1)))
-        cut = cut.withColumn("s", F.pmod(F.xxhash64("fp"), F.col("m")).cast("int"))
-        other = F.transform(F.sequence(F.lit(0), F.col("m") - 1), lambda u: F.struct(F.least("s", u).alias("p"), F.greatest("s", u).alias("q"), F.when(u == F.col("s"), -1).when(u < F.col("s"), 1).otherwise(0).cast("byte").alias("side")))
-        dealt = cut.select("t", "key", "fp", F.explode(other).alias("o")).select("t", "key", "o.p", "o.q", "o.side", "fp")
-    dealt = dealt.repartition("t", "key", "p", "q").sortWithinPartitions("t", "key", "p", "q", "side", "fp")
+    keys = ["t", "key"]
 
-    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = None
-        for batch in batches:
-            held = batch if held is None else pd.concat([held, batch], ignore_index=True)
-            key = held[["t", "key", "p", "q"]].to_numpy()
-            same = (key == key[-1]).all(axis=1)
-            done = len(held) - int(same[::-1].argmin() if not same.all() else len(held))
-            if done:
-                yield _linked(held.iloc[:done], radius)
-                held = held.iloc[done:]
-        if held is not None and len(held):
-            yield _linked(held, radius)
-
-    return dealt.mapInPandas(work, "a long, b long")
-
-
-def _linked(rows: pd.DataFrame, radius: int) -> pd.DataFrame:
-    key = rows[["t", "key", "p", "q"]].to_numpy()
-    group = np.cumsum(np.r_[False, (key[1:] != key[:-1]).any(axis=1)])
-    fps = rows["fp"].to_numpy()
-    i, root = forest(fps.view(np.uint64), group, rows["side"].to_numpy(), radius)
-    return pd.DataFrame({"a": fps[i], "b": fps[root]})
+    def linked(own: pd.DataFrame) -> pd.DataFrame:
+        fps = own["fp"].to_numpy()
+        i, root = forest(fps.view(np.uint64), group_numbers(own, [*keys, "p", "q"]), own["side"].to_numpy(), radius)
+        return pd.DataFrame({"a": fps[i], "b": fps[root]})
+
+    return deal(rows, keys, "fp", sub_block).mapInPandas(lambda batches: by_group(batches, [*keys, "p", "q"], linked), "a long, b long")
 
 
 def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS) -> DataFrame:
