@@ -9,6 +9,11 @@ from importlib import import_module
 OPERATORS = {
     "op1_pack": "packing",
     "op2_quality_rules": "quality_rules",
+    "op3_embedding_dedup": "embedding_dedup",
+    "op4_chat_format": "chat_format",
+    "op7_simhash_dedup": "simhash_dedup",
+    "op8_quality_classifier": "quality_classifier",
+    "op9_language_id": "language_id",
     "op10_url_filter": "url_filter",
 }
 
