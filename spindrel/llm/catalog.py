@@ -11,6 +11,8 @@ OPERATORS = {
     "op2_quality_rules": "quality_rules",
     "op3_embedding_dedup": "embedding_dedup",
     "op4_chat_format": "chat_format",
+    "op5_substring_dedup": "substring_dedup",
+    "op6_mix_sources": "mixing",
     "op7_simhash_dedup": "simhash_dedup",
     "op8_quality_classifier": "quality_classifier",
     "op9_language_id": "language_id",
