@@ -19,3 +19,14 @@ def column_function(kind: str):
         return on
 
     return of
+
+
+def plain(value):
+    """Arrow's arrays, rows and maps as lists and dicts."""
+    if isinstance(value, dict):
+        return {k: plain(v) for k, v in value.items()}
+    if hasattr(value, "asDict"):
+        return plain(value.asDict())
+    if hasattr(value, "tolist") and not isinstance(value, (str, bytes)):
+        value = value.tolist()
+    return [plain(v) for v in value] if isinstance(value, (list, tuple)) else value

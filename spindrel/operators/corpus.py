@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from spindrel.functions import pages, text
 from spindrel.functions.markdown import module_markdown
-from spindrel.functions.udfs import column_function
+from spindrel.functions.udfs import column_function, plain
 
 NEVER_FETCHED = "Sub-page was never fetched."
 
@@ -37,16 +37,17 @@ def parse_events(fetched: DataFrame, html: str = "html", url: str = "url") -> Da
 def with_events(modules: DataFrame, events: DataFrame, key: list[str]) -> DataFrame:
     """modules with events: the records its links point at, in their order. A link without a fetched page is kept, with an error."""
     links = modules.select(*key, F.posexplode("module.event_links").alias("pos", "link")).withColumn("event_key", text.event_key("link.url"))
-    hit = links.join(events, "event_key", "left")
+    # one column for all that the event brings, so that no name can clash with the key's
+    hit = links.join(events.select("event_key", F.struct("event", "url", "status_code", "fetched", "fetch_error").alias("e")), "event_key", "left")
     record = F.struct(
         "pos",
         F.col("link.title").alias("listed_as"),
-        F.coalesce("url", "link.url").alias("url"),
-        F.coalesce("event.veranstid", "link.veranstid").alias("veranstid"),
-        F.coalesce("fetched", F.lit(False)).alias("fetched"),
-        F.when(F.col("fetched").isNull(), NEVER_FETCHED).otherwise(F.col("fetch_error")).alias("fetch_error"),
-        "status_code",
-        "event",
+        F.coalesce("e.url", "link.url").alias("url"),
+        F.coalesce("e.event.veranstid", "link.veranstid").alias("veranstid"),
+        F.coalesce("e.fetched", F.lit(False)).alias("fetched"),
+        F.when(F.col("e.fetched").isNull(), NEVER_FETCHED).otherwise(F.col("e.fetch_error")).alias("fetch_error"),
+        F.col("e.status_code").alias("status_code"),
+        F.col("e.event").alias("event"),
     )
     nested = hit.groupBy(*key).agg(F.array_sort(F.collect_list(record), lambda a, b: a["pos"] - b["pos"]).alias("events"))
     return modules.join(nested, key, "left").withColumn("events", F.coalesce("events", F.expr("filter(array(), x -> false)").cast(nested.schema["events"].dataType)))
@@ -65,7 +66,8 @@ def rendered(module: pd.DataFrame, url: pd.Series, events: pd.Series) -> pd.Seri
     def own(e: dict) -> dict:
         return {**(e["event"] or {}), **{k: v for k, v in e.items() if k != "event"}}
 
-    return pd.Series([module_markdown(m, u or "", [own(e) for e in (es if es is not None else [])]) for m, u, es in zip(module.to_dict("records"), url, events, strict=True)], dtype=object)
+    rows = zip(plain(module.to_dict("records")), url, events, strict=True)
+    return pd.Series([module_markdown(m, u or "", [own(e) for e in plain(es) or []]) for m, u, es in rows], dtype=object)
 
 
 def markdown_documents(modules: DataFrame, url: str = "url") -> DataFrame:

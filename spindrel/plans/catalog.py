@@ -1,11 +1,406 @@
-"""The registered queries of the knowledge-base operators."""
+"""The registered queries of the knowledge-base operators, and the SQL of those that SQL can express."""
 
 from __future__ import annotations
 
+import tempfile
+from collections.abc import Callable
 
-def queries() -> dict:
-    return {}
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from spindrel.functions import chunking, names, pages, people, repair, text
+from spindrel.functions.embedding import embed
+from spindrel.operators import corpus, retrieval, roster, sync
+from spindrel.plans import examples as X
+from spindrel.session import read_table
+from spindrel.sources import fetch, links
 
-def oracle_sql() -> dict:
-    return {}
+Query = Callable[[SparkSession, str], DataFrame]
+_QUERIES: dict[str, Query] = {}
+_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def register(function: Query) -> Query:
+        _QUERIES[function.__name__] = function
+        if sql:
+            _SQL[function.__name__] = sql
+        return function
+
+    return register
+
+
+def queries() -> dict[str, Query]:
+    return dict(_QUERIES)
+
+
+def oracle_sql() -> dict[str, str]:
+    return dict(_SQL)
+
+
+_UUID5 = """(lower(substr({h},1,8)) || '-' || substr({h},9,4) || '-5' || substr({h},14,3) || '-' || translate(substr({h},17,1),'0123456789abcdef','89ab89ab89ab89ab')
+  || substr({h},18,3) || '-' || substr({h},21,12))"""
+_SPACES = r"[\s\x0B\x{0085}\x{00A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
+
+
+# --- text and identities ---
+
+
+@query("SELECT doc_id, md5(text) AS content_hash FROM documents")
+def content_hash(spark, d):
+    return read_table(spark, d, "documents").select("doc_id", text.content_hash("text").alias("content_hash"))
+
+
+@query(f"""SELECT page_id, chunk_index, {_UUID5.format(h="h")} AS id FROM (
+  SELECT page_id, CAST(i AS INT) AS chunk_index, sha1(unhex('6ba7b8119dad11d180b400c04fd430c8') || encode(url || '_chunk_' || i)) AS h FROM pages, (SELECT unnest(range(4)) AS i))""")
+def chunk_ids(spark, d):
+    rows = read_table(spark, d, "pages").select("page_id", "url", F.explode(F.sequence(F.lit(0), F.lit(3))).alias("chunk_index"))
+    return rows.select("page_id", "chunk_index", text.chunk_id("url", "chunk_index").alias("id"))
+
+
+@query(f"""SELECT doc_id, len(list_filter(regexp_split_to_array(coalesce(text, ''), '{_SPACES}'), lambda w: w <> '')) AS n_words,
+  trim(regexp_replace(text, '{_SPACES}', ' ', 'g')) AS tidy FROM documents""")
+def word_counts(spark, d):
+    return read_table(spark, d, "documents").select("doc_id", text.word_count("text").cast("long").alias("n_words"), text.collapse_space("text").alias("tidy"))
+
+
+@query(r"""SELECT page_id, coalesce('modul_p' || nullif(regexp_extract(url, '[?&]pord\.pordnr=(\d+)', 1), ''), 'modul_x' || substr(md5(url), 1, 12)) AS doc_id,
+  coalesce(nullif(regexp_extract(url, '[?&][^=&#]*veranstid=([^&#]+)', 1), ''), url) AS event_key, lower(regexp_extract(url, '://([^/?#:]*)', 1)) IN ('www.b-tu.de', 'b-tu.de') AS own FROM pages""")
+def page_identities(spark, d):
+    return read_table(spark, d, "pages").select("page_id", text.document_id("url").alias("doc_id"), text.event_key("url").alias("event_key"), text.is_own_host("url").alias("own"))
+
+
+_MAILS = ["Mailto:Max.Muster.(at)Example(punkt)ORG?subject=x", "kein Kontakt", "a [at] b.de", "x..y@z..org", " Ada.Muster{@}b-tu.de ", "", "t@t", "Name <n.n@host.example>"]
+_MAIL_VALUES = ", ".join(f"({k}, '{m}')" for k, m in enumerate(_MAILS))
+
+
+@query(rf"""WITH a AS (SELECT * FROM (VALUES {_MAIL_VALUES}) AS t(k, raw)),
+b AS (SELECT k, raw, split_part(regexp_replace(trim(regexp_replace(raw, '{_SPACES}', ' ', 'g')), '^(?i)mailto:', ''), '?', 1) AS t FROM a),
+c AS (SELECT k, raw, regexp_replace(regexp_replace(t, '(?i)\s*[\(\[\{{]\s*(?:at|@)\s*[\)\]\}}]\s*', '@', 'g'), '(?i)\s*[\(\[\{{]\s*(?:dot|punkt)\s*[\)\]\}}]\s*', '.', 'g') AS t FROM b),
+e AS (SELECT k, raw, lower(regexp_extract(replace(t, ' ', ''), '[A-Za-z0-9._%+\-]+@[A-Za-z0-9.\-]+\.[A-Za-z]{{2,}}')) AS m FROM c),
+f AS (SELECT k, raw, m, trim(regexp_replace(split_part(m, '@', 1), '\.{{2,}}', '.', 'g'), '.') AS l, trim(regexp_replace(split_part(m, '@', 2), '\.{{2,}}', '.', 'g'), '.') AS h FROM e)
+SELECT k, raw, CASE WHEN l <> '' AND h <> '' THEN l || '@' || h END AS email FROM f""")
+def email_normalise(spark, d):
+    return spark.createDataFrame([*enumerate(_MAILS)], "k int, raw string").select("k", "raw", text.normalize_email("raw").alias("email"))
+
+
+@query("""SELECT * FROM (VALUES ('Prof. Dr.-Ing. Jörg Müßler-Ná', ['joerg', 'muessler'], 'joerg-muessler', true), ('Ada Muster', ['ada', 'muster'], 'ada-muster', true),
+  ('Akademische Mitarbeiterin', ['akademische', 'mitarbeiterin'], 'akademische-mitarbeiterin', false), ('BTU Cottbus', ['btu', 'cottbus'], 'btu-cottbus', false), ('李', CAST([] AS VARCHAR[]), 'unknown', false)) AS t(name, tokens, slug, is_name)""")
+def name_functions(spark, d):
+    rows = spark.createDataFrame([(n,) for n in ("Prof. Dr.-Ing. Jörg Müßler-Ná", "Ada Muster", "Akademische Mitarbeiterin", "BTU Cottbus", "李")], "name string")
+    return rows.select("name", repair.tokens_of("name").alias("tokens"), repair.slug_of("name").alias("slug"), names.is_name_like("name").alias("is_name"))
+
+
+@query("""SELECT * FROM (VALUES ('Beckumer Stra+AN8-e', 'Beckumer Straße'), ('T +-49', 'T +49'), ('1+1', '1+1')) AS t(raw, repaired)""")
+def text_repairs(spark, d):
+    return spark.createDataFrame([("Beckumer Stra+AN8-e",), ("T +-49",), ("1+1",)], "raw string").select("raw", repair.utf7_repaired("raw").alias("repaired"))
+
+
+@query("SELECT 'nbjmup+beb/nvtufsAc.uv/ef' AS token, 'mailto:ada.muster@b-tu.de' AS decoded")
+def mail_tokens(spark, d):
+    return spark.createDataFrame([("nbjmup+beb/nvtufsAc.uv/ef", "1")], "token string, vector string").select("token", repair.decoded_token("token", "vector").alias("decoded"))
+
+
+# --- deduplication, resume, link lists ---
+
+
+@query("SELECT min(doc_id) AS doc_id, md5(text) AS content_hash, count(*) AS copies FROM documents GROUP BY md5(text)")
+def exact_dedupe(spark, d):
+    rows = read_table(spark, d, "documents").select("doc_id", text.content_hash("text").alias("content_hash"))
+    return rows.groupBy("content_hash").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies")).select("doc_id", "content_hash", "copies")
+
+
+@query("""WITH old AS (SELECT page_id AS ord, url FROM pages WHERE page_id % 3 <> 0), new AS (SELECT page_id AS ord, url FROM pages WHERE page_id % 4 <> 0)
+SELECT coalesce(n.url, o.url) AS url, CASE WHEN o.url IS NULL THEN 'added' WHEN n.url IS NULL THEN 'removed' ELSE 'unchanged' END AS status, coalesce(n.ord, o.ord) AS ord FROM old o FULL OUTER JOIN new n ON o.url = n.url""")
+def link_diff(spark, d):
+    rows = read_table(spark, d, "pages").select(F.col("page_id").alias("ord"), "url")
+    return links.diff(rows.where("ord % 3 <> 0"), rows.where("ord % 4 <> 0"))
+
+
+@query("""WITH old AS (SELECT page_id AS ord, url FROM pages WHERE page_id % 3 <> 0), new AS (SELECT page_id AS ord, url FROM pages WHERE page_id % 4 <> 0)
+SELECT (SELECT count(*) FROM new) AS total, (SELECT count(*) FROM old) AS previous_total, (SELECT count(*) FROM new WHERE url NOT IN (SELECT url FROM old)) AS added_count,
+  (SELECT count(*) FROM old WHERE url NOT IN (SELECT url FROM new)) AS removed_count, (SELECT count(*) FROM new WHERE url IN (SELECT url FROM old)) AS unchanged_count""")
+def link_report(spark, d):
+    rows = read_table(spark, d, "pages").select(F.col("page_id").alias("ord"), "url")
+    return links.report(rows.where("ord % 3 <> 0"), rows.where("ord % 4 <> 0")).drop("added", "removed")
+
+
+@query("SELECT url FROM pages WHERE 'modul_x' || substr(md5(url), 1, 12) NOT IN (SELECT 'modul_x' || substr(md5(url), 1, 12) FROM pages WHERE page_id % 2 = 0)")
+def resume_pending(spark, d):
+    rows = read_table(spark, d, "pages")
+    return corpus.pending_markdown(rows.select("url"), rows.where("page_id % 2 = 0").select(text.document_id("url").alias("doc_id")))
+
+
+@query("SELECT url FROM pages WHERE page_id % 2 <> 0")
+def resume_pending_structured(spark, d):
+    rows = read_table(spark, d, "pages")
+    return corpus.pending_structured(rows.select("url"), rows.where("page_id % 2 = 0").select(text.document_id("url").alias("doc_id"), text.module_key("url").alias("pordnr")))
+
+
+@query("""SELECT * FROM (VALUES (1, 'https://a.example/1'), (4, 'https://a.example/2')) AS t(ord, url)""")
+def clean_links(spark, d):
+    lines = spark.createDataFrame([(0, "# list"), (1, " https://a.example/1 "), (2, ""), (3, "https://a.example/1"), (4, "https://a.example/2")], "ord int, value string")
+    return links.first_of_each(links.clean_lines(lines, order="ord")).select(F.col("ord").cast("int").alias("ord"), "url")
+
+
+@query(f"""SELECT * FROM (VALUES (CAST(0 AS BIGINT), '{X.BASE}?state=modulBeschrDetailInfo&pord.pordnr=5', '5'), (CAST(2 AS BIGINT), '{X.BASE}?state=modulBeschrDetailInfo&pord.pordnr=7', '7')) AS t(ord, url, pordnr)""")
+def catalogue_links(spark, d):
+    return links.catalogue_links(spark.createDataFrame([(X.CATALOGUE, X.BASE)], "html string, url string"))
+
+
+# --- sync ---
+
+
+def _sides(spark, d):
+    docs = read_table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("doc_id"), "doc_id", "text").toDF("key", "doc_id", "text")
+    hashed = text.content_hash(F.when(F.col("doc_id") % 5 == 0, F.concat("text", F.lit("x"))).otherwise(F.col("text")))
+    existing = docs.where("doc_id % 7 <> 3").select(F.col("key").alias("doc_id"), hashed.alias("stored"))
+    incoming = docs.where("doc_id % 11 <> 4").select(F.col("key").alias("doc_id"), F.when(F.col("doc_id") % 13 == 0, " ").otherwise(F.col("text")).alias("content"))
+    return existing, incoming
+
+
+_SYNC = """e AS (SELECT CAST(doc_id AS VARCHAR) AS doc_id, md5(CASE WHEN doc_id % 5 = 0 THEN text || 'x' ELSE text END) AS stored FROM documents WHERE doc_id % 7 <> 3),
+i AS (SELECT CAST(doc_id AS VARCHAR) AS doc_id, CASE WHEN doc_id % 13 = 0 THEN ' ' ELSE text END AS content FROM documents WHERE doc_id % 11 <> 4),
+p AS (SELECT coalesce(e.doc_id, i.doc_id) AS doc_id, e.stored, md5(i.content) AS hash,
+  CASE WHEN i.doc_id IS NULL THEN CASE WHEN (SELECT count(*) FROM i) < 0.5 * (SELECT count(*) FROM e) THEN 'held' ELSE 'stale' END WHEN trim(i.content) = '' THEN 'blank' WHEN e.doc_id IS NULL THEN 'new'
+       WHEN e.stored = md5(i.content) THEN 'unchanged' ELSE 'changed' END AS action FROM e FULL OUTER JOIN i ON e.doc_id = i.doc_id)"""
+
+
+@query(f"WITH {_SYNC} SELECT doc_id, action FROM p")
+def sync_plan(spark, d):
+    return sync.plan(*_sides(spark, d))
+
+
+@query(f"WITH {_SYNC} SELECT action, count(*) AS n FROM p GROUP BY action")
+def sync_counts(spark, d):
+    return sync.plan(*_sides(spark, d)).groupBy("action").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"WITH {_SYNC} SELECT doc_id, CASE WHEN action IN ('new', 'changed') THEN hash ELSE stored END AS content_hash FROM p WHERE action <> 'stale' AND NOT (action = 'blank' AND stored IS NULL)")
+def sync_apply(spark, d):
+    existing, incoming = _sides(spark, d)
+    todo = sync.plan(existing, incoming)
+    kept = existing.join(todo.where("action in ('changed', 'stale')"), "doc_id", "left_anti").select("doc_id", F.col("stored").alias("content_hash"))
+    fresh = incoming.join(todo.where("action in ('new', 'changed')"), "doc_id", "left_semi").select("doc_id", text.content_hash("content").alias("content_hash"))
+    return kept.unionByName(fresh)
+
+
+@query("SELECT * FROM (VALUES (49, 'held', CAST(51 AS BIGINT)), (49, 'unchanged', 49), (50, 'stale', 50), (50, 'unchanged', 50), (51, 'stale', 49), (51, 'unchanged', 51)) AS t(seen, action, n)")
+def reconcile_guard(spark, d):
+    out = None
+    for seen in (49, 50, 51):
+        own = spark.range(100).select(F.col("id").cast("string").alias("doc_id"), text.content_hash(F.col("id").cast("string")).alias("stored"))
+        came = spark.range(seen).select(F.col("id").cast("string").alias("doc_id"), F.col("id").cast("string").alias("content"))
+        rows = sync.plan(own, came).groupBy("action").agg(F.count(F.lit(1)).alias("n")).select(F.lit(seen).alias("seen"), "action", "n")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+# --- chunks, vectors, answers ---
+
+
+@query()
+def chunks(spark, d):
+    docs = read_table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("doc_id"), F.col("text").alias("content"), F.concat(F.lit("https://docs.example/"), "doc_id").alias("url"), F.lit(None).cast("string").alias("title"))
+    return sync.chunk_rows(docs)
+
+
+@query("SELECT doc_id, true AS some_chunk, true AS none_too_long, true AS none_blank FROM documents")
+def chunk_invariants(spark, d):
+    own = read_table(spark, d, "documents").select("doc_id", chunking.chunks_of("text").alias("c"))
+    return own.select("doc_id", (F.size("c") > 0).alias("some_chunk"), F.forall("c", lambda x: F.length(x) <= 1000).alias("none_too_long"), F.forall("c", lambda x: F.length(F.trim(x)) > 0).alias("none_blank"))
+
+
+@query()
+def embed_chunks(spark, d):
+    return chunks(spark, d).select("id", "doc_id", "chunk_index", embed()("text").alias("vector"))
+
+
+_DOT = "list_sum(list_transform(list_zip({a}, {b}), lambda x: CAST(x[1] AS DOUBLE) * CAST(x[2] AS DOUBLE)))"
+
+
+@query(f"""SELECT vec_id, round(score, 6) AS score FROM (SELECT e.vec_id, {_DOT.format(a="e.embedding", b="q.embedding")} AS score FROM embeddings e, (SELECT embedding FROM embeddings WHERE vec_id = 0) q) ORDER BY score DESC, vec_id LIMIT 10""")
+def vector_topk(spark, d):
+    table = read_table(spark, d, "embeddings")
+    question = table.where("vec_id = 0").first()["embedding"]
+    return retrieval.top_k(table, question, 10, "vec_id", "embedding").select("vec_id", F.round("score", 6).alias("score"))
+
+
+@query(f"""SELECT query_id, vec_id, round(score, 6) AS score, CAST(rank AS INT) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM (
+  SELECT q.vec_id AS query_id, e.vec_id, {_DOT.format(a="e.embedding", b="q.embedding")} AS score FROM embeddings e, embeddings q WHERE q.vec_id % 100 = 0)) WHERE rank <= 5""")
+def vector_topk_batch(spark, d):
+    table = read_table(spark, d, "embeddings")
+    asked = table.where("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query_vector"))
+    return retrieval.top_k_batch(table, asked, 5, "vec_id", "embedding").select("query_id", "vec_id", F.round("score", 6).alias("score"), "rank")
+
+
+_VERDICTS = ['{"is_relevant": true, "confidence_score": 0.87, "reasoning": "r"}', '{"is_relevant": true, "confidence_score": 0.75, "reasoning": "r"}', '{"is_relevant": false, "confidence_score": 0.90, "reasoning": "r"}', "{broken"]
+
+
+@query("SELECT * FROM (VALUES (0, true, 0.87::DOUBLE, 'internal'), (1, true, 0.75, 'web'), (2, false, 0.9, 'web'), (3, NULL, NULL, 'web')) AS t(k, is_relevant, confidence_score, route)")
+def route(spark, d):
+    rows = spark.createDataFrame([*enumerate(_VERDICTS)], "k int, raw string").withColumn("verdict", retrieval.parse_verdict(F.col("raw")))
+    return retrieval.route(rows).select("k", "verdict.is_relevant", "verdict.confidence_score", "route")
+
+
+@query(f"""SELECT query_id, CASE WHEN label IS NOT NULL AND score > 0.75 THEN 'internal' ELSE 'web' END AS route FROM (SELECT q.vec_id AS query_id, max(q.label) AS label, round(max({_DOT.format(a="e.embedding", b="q.embedding")}), 6) AS score
+  FROM embeddings e, embeddings q WHERE q.vec_id % 100 = 0 AND e.vec_id <> q.vec_id GROUP BY q.vec_id)""")
+def route_by_score(spark, d):
+    table = read_table(spark, d, "embeddings")
+    asked = table.where("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query_vector"), "label")
+    best = retrieval.top_k_batch(table, asked, 2, "vec_id", "embedding").where("vec_id <> query_id").groupBy("query_id").agg(F.round(F.max("score"), 6).alias("score"))
+    judged = asked.join(best, "query_id").select("query_id", F.struct(F.col("label").isNotNull().alias("is_relevant"), F.col("score").alias("confidence_score")).alias("verdict"))
+    return retrieval.route(judged).select("query_id", "route")
+
+
+def _answers(spark, d):
+    asked = read_table(spark, d, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("message"))
+    store = chunks(spark, d).withColumn("vector", embed()("text"))
+    return retrieval.answer(asked, store)
+
+
+@query()
+def answers(spark, d):
+    return _answers(spark, d).select("query_id", "route", F.round("highest_relevance_score", 6).alias("score"), "response")
+
+
+@query()
+def workflow_log_rows(spark, d):
+    rows = retrieval.log_rows(_answers(spark, d), "answers", "offline", "hashing-384").unionByName(retrieval.error_row(spark, "answers", "ValueError: example"))
+    return rows.drop("created_at")
+
+
+# --- pages ---
+
+
+def _pages_with(spark, d, *extra):
+    table = read_table(spark, d, "pages").select("url", "html")
+    return table.unionByName(spark.createDataFrame([*extra], "url string, html string"))
+
+
+_UNESCAPED = "replace(replace(replace(replace({t}, '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&amp;', '&')"
+
+
+@query(f"""SELECT page_id, trim(regexp_replace({_UNESCAPED.format(t="regexp_extract(html, '<title>(.*?)</title>', 1)")}, '{_SPACES}', ' ', 'g')) AS title FROM pages""")
+def page_titles(spark, d):
+    return read_table(spark, d, "pages").select("page_id", pages.outline_of("html", "url")["title"].alias("title"))
+
+
+@query()
+def page_outline(spark, d):
+    return read_table(spark, d, "pages").select("page_id", pages.outline_of("html", "url").alias("o")).select("page_id", "o.heading", F.size("o.links").alias("n_links"), "o.tables")
+
+
+@query()
+def module_parse(spark, d):
+    rows = _pages_with(spark, d, (f"{X.BASE}?pord.pordnr=5", X.MODULE_EN), (f"{X.BASE}?pord.pordnr=7", X.MODULE_DE), (f"{X.BASE}?pord.pordnr=6", X.ERROR_PAGE))
+    parsed = rows.select("url", pages.module_of("html", "url").alias("m"))
+    return parsed.select("url", "m.parsed", "m.parse_error", "m.language", "m.heading", F.array_sort(F.map_keys("m.fields")).alias("fields"), "m.event_links", "m.unmapped_fields")
+
+
+@query()
+def event_parse(spark, d):
+    parsed = _pages_with(spark, d, (f"{X.BASE}?veranstaltung.veranstid=11", X.EVENT)).select("url", pages.event_of("html", "url").alias("e"))
+    return parsed.select("url", "e.veranstid", "e.parsed", "e.parse_error", F.size("e.schedule_groups").alias("groups"), F.size("e.institutions").alias("institutions"), "e.unmapped_sections")
+
+
+@query()
+def people_parse(spark, d):
+    parsed = _pages_with(spark, d, ("https://www.b-tu.de/fg-x/team", X.TEAM), ("https://www.b-tu.de/fg-x/bo", X.PERSON)).select("url", people.people_of("html", "url").alias("p"))
+    return parsed.select("url", "p.parsed", "p.page_heading", "p.siblings", F.explode_outer("p.people").alias("person")).select("url", "parsed", "page_heading", "siblings", "person.*")
+
+
+@query()
+def faculty_parse(spark, d):
+    rows = _pages_with(spark, d, ("https://www.b-tu.de/fakultaet1/x", X.FACULTY)).select("url", people.faculty_of("html", "url").alias("f"))
+    return rows.select("url", "f.faculty_name", "f.faculty_number", F.explode("f.chairs").alias("c")).select("url", "faculty_name", "faculty_number", "c.*")
+
+
+@query()
+def chair_nav_parse(spark, d):
+    rows = _pages_with(spark, d, ("https://www.b-tu.de/fg-x", X.CHAIR)).select("url", people.nav_of("html", "url").alias("n"))
+    return rows.select("url", "n.chair_title", "n.has_nav", "n.menu_labels", F.size("n.team_sections").alias("team_sections"))
+
+
+# --- crawls of the example site ---
+
+
+def _fetch(urls: DataFrame) -> DataFrame:
+    return fetch.fetch(urls, X.SiteSession, workers=2, policy=fetch.Policy(pause=0, jitter=(0, 0)))
+
+
+def _work(spark) -> str:
+    """A folder that all executors share, as the session names it; a local one only where none is named."""
+    return spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spindrel-")
+
+
+def _module_links(spark):
+    return spark.createDataFrame([(f"{X.BASE}?pord.pordnr={n}",) for n in (5, 6, 7, 9)], "url string")
+
+
+@query()
+def fetch_pages(spark, d):
+    return _fetch(_module_links(spark)).select("requested_url", "status_code", "success", "error_message", "attempts")
+
+
+@query()
+def markdown_documents(spark, d):
+    from spindrel.plans.runs import build_markdown_corpus
+
+    return build_markdown_corpus(spark, _module_links(spark), _fetch, _work(spark)).select("doc_id", "metadata.url", "metadata.title", "metadata.word_count", "content_markdown")
+
+
+@query()
+def structured_documents(spark, d):
+    from spindrel.plans.runs import build_structured_corpus
+
+    return build_structured_corpus(spark, _module_links(spark), _fetch, _work(spark)).select("doc_id", "source.language", "event_summary", F.size("events").alias("events"))
+
+
+@query()
+def people_crawl(spark, d):
+    from spindrel.plans.runs import build_roster
+
+    return build_roster(spark, spark.createDataFrame([(0, "https://www.b-tu.de/fakultaet1/x")], "ord int, url string"), _fetch, _work(spark))["roster"]
+
+
+# --- roster ---
+
+
+def _people(spark):
+    return roster.merge_in_chair(spark.createDataFrame(X.SIGHTINGS, "chair_id string, seq array<int>, name string, emails array<string>, career string"))
+
+
+def _chairs(spark):
+    return spark.createDataFrame(X.CHAIRS, "chair_id string, faculty string, faculty_number int, institute string, chair string, chair_url string, chair_is_former boolean, status string, team_menu_found boolean")
+
+
+@query("""SELECT * FROM (VALUES ('A', 'Dr. Ada Muster', 'ada.muster@x.de', 'longer career'), ('A', 'Bo Beispiel', 'fg@x.de', NULL), ('B', 'Ada Muster', 'muster@x.de', NULL), ('B', 'Ida Beispiel', NULL, NULL)) AS t(chair_id, name, email, career)""")
+def roster_merge(spark, d):
+    return _people(spark).select("chair_id", "name", text.joined("emails").alias("email"), "career")
+
+
+@query("""SELECT * FROM (VALUES ('ada-muster', 'Dr. Ada Muster', 'ada.muster@x.de; muster@x.de', 'longer career', 'A; B', 'I1', false), ('beispiel', 'Bo Beispiel', 'fg@x.de', NULL, 'A', 'I1', false),
+  ('ida-beispiel', 'Ida Beispiel', NULL, NULL, 'B', NULL, true)) AS t(key, name, email, career, chair, institute, is_former_chair)""")
+def roster_flat(spark, d):
+    flat = roster.flat_roster(roster.merge_everywhere(_people(spark), _chairs(spark)))
+    return flat.select("key", "name", "email", "career", "chair", "institute", "is_former_chair")
+
+
+@query("SELECT 'ada-muster' AS key")
+def roster_search(spark, d):
+    flat = roster.flat_roster(roster.merge_everywhere(_people(spark), _chairs(spark)))
+    return roster.search_roster(flat, faculty="1", q="MUSTER").select("key")
+
+
+@query("SELECT * FROM (VALUES ('Dr. Ada Muster', true), ('Bo Beispiel', false), ('Ada Muster', false), ('Ida Beispiel', false), ('Klara Zimmer', true)) AS t(name, is_head)")
+def head_match(spark, d):
+    chairs = spark.createDataFrame([("A", [1], "Prof. Dr. Ada Muster"), ("B", [2], "Klara Zimmer"), ("C", [3], "N. N.")], "chair_id string, seq array<int>, head_of_chair string")
+    everyone, _ = roster.attach_heads(_people(spark), chairs)
+    return everyone.select("name", F.col("is_head_of_chair").alias("is_head"))
+
+
+@query("""SELECT CAST(2 AS BIGINT) AS faculties, CAST(2 AS BIGINT) AS institutes, CAST(3 AS BIGINT) AS chairs, CAST(1 AS BIGINT) AS chairs_with_team_menu, CAST(2 AS BIGINT) AS chairs_crawled, CAST(1 AS BIGINT) AS chairs_without_link,
+  CAST(0 AS BIGINT) AS chairs_hosted_externally, CAST(0 AS BIGINT) AS chairs_fetch_failed, CAST(3 AS BIGINT) AS people, CAST(2 AS BIGINT) AS people_with_email, CAST(0 AS BIGINT) AS people_with_image, CAST(1 AS BIGINT) AS people_with_career, CAST(0 AS BIGINT) AS people_with_office_hours""")
+def crawl_counters(spark, d):
+    return roster.crawl_counters(_chairs(spark), roster.merge_everywhere(_people(spark), _chairs(spark)))
