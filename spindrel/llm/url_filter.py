@@ -6,7 +6,7 @@ either side), so ``sex`` doesn't hit ``essex``. One strict term rejects; soft te
 
 Cases: a null URL, or one without ``://``, has an empty host and path and no rule; the vocabulary still scans what text
 there is (none for null, so it is allowed). Very long URLs are scanned whole, in linear time. Repeated rows are judged
-alike, an empty table gives an empty result, other columns aren't read.
+alike, an empty table gives an empty result. Other columns stay; those named like a result are replaced by it.
 """
 
 from __future__ import annotations
@@ -88,7 +88,8 @@ def url_filter(urls: DataFrame, url: str = "url", rules=RULES, strict=STRICT, so
     parts = split_url(urls, url)
     rule, verdict = rule_column(F.col("host"), F.col("path"), rules)
     parts = parts.withColumns({"rule": rule, "__verdict": verdict, "__j": judged(F.col(url))})
-    return parts.select(*[c for c in parts.columns if not c.startswith("__")], F.coalesce("__verdict", F.when(F.col("__j.rejected"), "block").otherwise("allow")).alias("verdict"), F.col("__j.strict_hits").alias("strict_hits"), F.col("__j.soft_terms").alias("soft_terms"))
+    own = ("verdict", "strict_hits", "soft_terms")
+    return parts.select(*[c for c in parts.columns if c not in own and not c.startswith("__")], F.coalesce("__verdict", F.when(F.col("__j.rejected"), "block").otherwise("allow")).alias("verdict"), F.col("__j.strict_hits").alias("strict_hits"), F.col("__j.soft_terms").alias("soft_terms"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
