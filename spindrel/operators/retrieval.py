@@ -6,11 +6,12 @@ from typing import Protocol
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from spindrel.functions import fixed_values as V
 from spindrel.functions import text
 
-#: A batch of questions up to so many rows is sent to every task; beyond it the chunks are compared partition by partition as joins go.
+#: A batch of questions up to so many rows is sent to every task; more are compared by a join.
 BROADCAST_QUESTIONS = 10_000
 VERDICT = "is_relevant boolean, confidence_score double, reasoning string"
 LOG = "id string, created_at timestamp, workflow_name string, user_query string, llm_model string, embeddings_model string, highest_relevance_score double, is_web_fallback_used boolean, final_response string, latency_ms double, error_log string"
@@ -23,15 +24,45 @@ def top_k(chunks: DataFrame, question: list[float], k: int = 1, id_col: str = "i
 
 
 def top_k_batch(chunks: DataFrame, questions: DataFrame, k: int = 1, id_col: str = "id", vector: str = "vector", query_id: str = "query_id", query_vector: str = "query_vector") -> DataFrame:
-    """query_id, id, score, rank: the k best chunks of every question. Ranks are limited in each task before the shuffle."""
+    """query_id, id, score, rank: the k best chunks of every question, by exact search.
+
+    Up to BROADCAST_QUESTIONS questions (counted) go to every task as one matrix; a task multiplies its chunks with it a batch at a time and hands on,
+    for each question and batch, what can still be among the k best. More questions are compared by a join.
+    """
     asked = questions.select(query_id, query_vector)
-    small = asked.limit(BROADCAST_QUESTIONS + 1).count() <= BROADCAST_QUESTIONS
-    pairs = chunks.select(id_col, vector).crossJoin(F.broadcast(asked) if small else asked)  # every question is compared with every chunk: exact search
-    scored = pairs.select(query_id, id_col, text.cosine(vector, query_vector).alias("score"))
+    rows = asked.limit(BROADCAST_QUESTIONS + 1).collect()
+    if len(rows) > BROADCAST_QUESTIONS:
+        pairs = chunks.select(id_col, vector).crossJoin(asked)  # every question meets every chunk: that is exact search
+        scored = pairs.select(query_id, id_col, F.round(text.cosine(vector, query_vector), 12).alias("score"))
+    else:
+        scored = _scored(chunks.select(id_col, vector), asked, [tuple(r) for r in rows if r[1] is not None], k, id_col, query_id)
     order = Window.partitionBy(query_id).orderBy(F.desc("score"), id_col)
     return scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
+def _scored(chunks: DataFrame, asked: DataFrame, rows: list[tuple], k: int, id_col: str, query_id: str) -> DataFrame:
+    import numpy as np
+    import pandas as pd
+
+    schema = T.StructType([T.StructField(query_id, asked.schema[query_id].dataType), T.StructField(id_col, chunks.schema[id_col].dataType), T.StructField("score", T.DoubleType())])
+    keys = np.array([q for q, _ in rows], dtype=object)
+    matrix = np.array([v for _, v in rows], np.float64)
+
+    def work(batches):
+        for batch in batches:
+            batch = batch[batch.iloc[:, 1].notna()]
+            if not len(batch) or not len(keys):
+                continue
+            ids = batch.iloc[:, 0].to_numpy()
+            scores = np.round(np.stack(batch.iloc[:, 1].to_numpy()).astype(np.float64) @ matrix.T, 12)  # equal vectors get equal scores
+            most = min(k, len(ids))
+            least = -np.partition(-scores, most - 1, axis=0)[most - 1]
+            row, column = np.nonzero(scores >= least)
+            yield pd.DataFrame({query_id: keys[column], id_col: ids[row], "score": scores[row, column]})
+
+    return chunks.mapInPandas(work, schema)
+
+
 def parse_verdict(raw):
     """The judge's JSON as a struct; malformed input has nulls throughout."""
     return F.from_json(raw, VERDICT)
