@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 import numpy as np
@@ -15,6 +16,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
         named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="spindrel-checkpoint-"))
 
 
@@ -29,6 +32,16 @@ def fold(doc_id: str, parts: int):
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % parts
 
 
+def texts_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """id and text as strings: pandas would turn whole numbers with a null among them into floats."""
+    return docs.select(F.col(id_col).cast("string").alias(id_col), F.col(text_col).cast("string").alias("__text"))
+
+
+def with_id_type(rows: DataFrame, docs: DataFrame, id_col: str) -> DataFrame:
+    """The id as docs has it."""
+    return rows.withColumn(id_col, F.col(id_col).cast(docs.schema[id_col].dataType))
+
+
 def words_of(text: str | None) -> list[bytes]:
     """Runs of anything but space and 0x09-0x0D, as UTF-8. bytes.split() cuts at exactly these six bytes."""
     return text.encode("utf-8", "surrogatepass").split() if text else []

@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spindrel.llm.common import durable
+from spindrel.llm.common import durable, texts_of, with_id_type
 
 LIMIT = 2048
 END_ID = 0
@@ -104,8 +104,7 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", limi
     """id, piece, start, length, ids_crc32 of every piece, and its order of arrival."""
     import pyspark.sql.types as T
 
-    kind = docs.schema[id_col].dataType
-    schema = T.StructType([T.StructField(id_col, kind), T.StructField("piece", T.IntegerType()), T.StructField("start", T.LongType()), T.StructField("length", T.LongType()), T.StructField("ids_crc32", T.LongType()), T.StructField("arrival", T.LongType())])
+    schema = T.StructType([T.StructField(id_col, T.StringType()), T.StructField("piece", T.IntegerType()), T.StructField("start", T.LongType()), T.StructField("length", T.LongType()), T.StructField("ids_crc32", T.LongType()), T.StructField("arrival", T.LongType())])
     end = array("I", [end_id]).tobytes()
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -119,7 +118,7 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", limi
                     arrival += 1
             yield pd.DataFrame(rows, columns=schema.names)
 
-    return docs.select(F.col(id_col), F.col(text_col).cast("string")).mapInPandas(work, schema)
+    return with_id_type(texts_of(docs, id_col, text_col).mapInPandas(work, schema), docs, id_col)
 
 
 def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit: int = LIMIT, end_id: int = END_ID, most_open: int = OPEN, look_ahead: int = LOOK_AHEAD, pieces_per_task: int = PIECES_PER_TASK) -> DataFrame:
@@ -139,8 +138,9 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit:
             batch["offset"] = [o for _, o in placed]
             yield batch.drop(columns="arrival")
 
-    schema = thin.drop("arrival").schema.add("sequence_id", "long").add("offset", "long")
-    return thin.repartition(tasks).sortWithinPartitions("arrival").mapInPandas(work, schema)
+    named = thin.withColumn(id_col, F.col(id_col).cast("string"))
+    schema = named.drop("arrival").schema.add("sequence_id", "long").add("offset", "long")
+    return with_id_type(named.repartition(tasks).sortWithinPartitions("arrival").mapInPandas(work, schema), docs, id_col)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spindrel.llm.common import fold, words_of
+from spindrel.llm.common import fold, texts_of, with_id_type, words_of
 
 SAMPLE = 4000
 AXES = 48
@@ -161,7 +161,7 @@ def score(docs: DataFrame, space: Space, id_col: str = "doc_id", text_col: str =
     """id and score of every row."""
     import pyspark.sql.types as T
 
-    schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), T.StructField("score", T.DoubleType())])
+    schema = T.StructType([T.StructField(id_col, T.StringType()), T.StructField("score", T.DoubleType())])
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         terms = Terms()
@@ -170,7 +170,7 @@ def score(docs: DataFrame, space: Space, id_col: str = "doc_id", text_col: str =
                 own = batch.iloc[a : a + _BLOCK]
                 yield pd.DataFrame({id_col: own.iloc[:, 0], "score": space.score(terms.many(own.iloc[:, 1].tolist()))})
 
-    return docs.select(F.col(id_col), F.col(text_col).cast("string")).mapInPandas(work, schema)
+    return with_id_type(texts_of(docs, id_col, text_col).mapInPandas(work, schema), docs, id_col)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

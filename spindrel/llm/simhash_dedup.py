@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spindrel.llm.common import by_group, deal, durable, group_numbers, local_components
+from spindrel.llm.common import by_group, deal, durable, group_numbers, local_components, texts_of, with_id_type
 from spindrel.llm.graph import components
 
 SHINGLE = 4
@@ -65,14 +65,14 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """id and fp (the 64 bits as a signed long)."""
     import pyspark.sql.types as T
 
-    schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), T.StructField("fp", T.LongType())])
+    schema = T.StructType([T.StructField(id_col, T.StringType()), T.StructField("fp", T.LongType())])
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             fps = np.array([fingerprint(t) for t in batch.iloc[:, 1]], np.uint64)
             yield pd.DataFrame({id_col: batch.iloc[:, 0], "fp": fps.view(np.int64)})
 
-    return docs.select(F.col(id_col), F.col(text_col).cast("string")).mapInPandas(work, schema)
+    return with_id_type(texts_of(docs, id_col, text_col).mapInPandas(work, schema), docs, id_col)
 
 
 def choices(n: int, radius: int = RADIUS, mean_group: int = MEAN_GROUP) -> list[int]:

@@ -108,13 +108,13 @@ def test_simhash_groups(spark):
     words = [f"w{k}" for k in range(300)]
     near = " ".join(words[:299] + ["other"])
     rows = [(k + 1, t, "x") for k, t in enumerate([*TEXTS, " ".join(words), near])]
-    table = spark.createDataFrame([*rows, rows[6], (None, "one", "x")], "doc_id long, text string, fp string")
+    table = spark.createDataFrame([*rows, rows[6], (None, "one", "x"), (2**60 + 1, "far away from all else here", "x")], "doc_id long, text string, fp string")
     got = simhash_dedup.simhash_groups(table).collect()
-    assert len(got) == len(rows) + 2
+    assert len(got) == len(rows) + 3 and {2**60 + 1, None} < {r["doc_id"] for r in got}
     fps = [_fingerprint(t) for _, t, _ in rows]
     want = _roots(len(rows), _near(fps))
     for r in got:
-        if r["doc_id"] is not None:
+        if r["doc_id"] is not None and r["doc_id"] < 2**60:
             k = r["doc_id"] - 1
             assert r["fingerprint"] == f"{fps[k]:016x}" and r["component_id"] == want[k] + 1
     assert simhash_dedup.simhash_groups(table.limit(0)).count() == 0

@@ -87,6 +87,8 @@ def test_pack(spark, tokenizer):
     rows = packing.pack(table).collect()
     used = _check_packing(rows, want, 2048)
     assert used <= 1.02 * sum(map(len, want.values())) / 2048 + 1
+    big = 2**60 + 1
+    assert {r["doc_id"] for r in packing.pack(spark.createDataFrame([(big, "a"), (None, "b")], "doc_id long, text string")).collect()} == {big, None}
     repeated = spark.createDataFrame([(1, "a b"), (1, "a b")], "doc_id long, text string")
     assert sorted(r["offset"] for r in packing.pack(repeated).collect()) == [0, 3] and packing.pack(table.limit(0)).count() == 0
     many = packing.pack(table, limit=64, pieces_per_task=50).collect()

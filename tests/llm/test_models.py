@@ -48,11 +48,11 @@ def test_language_id(spark):
 
 
 def test_language_edges(spark):
-    docs = spark.createDataFrame([(1, None, "en"), (2, "", "en"), (3, "123 !? ", "en"), (4, "der und die " * 20_000, "de"), (5, "the of and", "en"), (5, "the of and", "en"), (6, "the of and", None)], "doc_id long, text string, lang string")
+    docs = spark.createDataFrame([(1, None, "en"), (2, "", "en"), (3, "123 !? ", "en"), (4, "der und die " * 20_000, "de"), (5, "the of and", "en"), (5, "the of and", "en"), (6, "the of and", None), (2**60 + 1, "die", "de"), (None, "the", "en")], "doc_id long, text string, lang string")
     words = [b"the", b"of", b"and", b"der", b"die", b"und"]
     net = language_id.train(words * 10, (["en"] * 3 + ["de"] * 3) * 10, epochs=10)
-    got = sorted((r["doc_id"], r["lang_pred"]) for r in language_id.identify(docs.withColumn("score", docs["lang"]), net).collect())
-    assert got == [(1, "und"), (2, "und"), (3, "und"), (4, "de"), (5, "en"), (5, "en"), (6, "en")]
+    got = sorted((r["doc_id"] or 0, r["lang_pred"]) for r in language_id.identify(docs.withColumn("score", docs["lang"]), net).collect())
+    assert got == [(0, "en"), (1, "und"), (2, "und"), (3, "und"), (4, "de"), (5, "en"), (5, "en"), (6, "en"), (2**60 + 1, "de")]
     assert language_id.fit(docs.limit(0)) is None and language_id.fit(docs.where("lang is null")) is None
     assert {r["lang_pred"] for r in language_id.identify(docs, None).collect()} == {"und"} and language_id.identify(docs.limit(0), net).count() == 0
 
@@ -66,11 +66,11 @@ def test_quality(spark):
 
 
 def test_quality_edges(spark):
-    docs = spark.createDataFrame([(1, None), (2, ""), (3, "good words here"), (3, "good words here"), (4, "BAD!! BAD!! " * 50_000)], "doc_id long, text string")
+    docs = spark.createDataFrame([(1, None), (2, ""), (3, "good words here"), (3, "good words here"), (4, "BAD!! BAD!! " * 50_000), (2**60 + 1, "x"), (None, None)], "doc_id long, text string")
     texts, labels = ["good words here now", "BAD!! BAD!! BAD!!"] * 5, np.array([1, 0] * 5, np.float32)
     space = quality_classifier.Space(quality_classifier.Terms().many(texts), labels)
     got = {r["doc_id"]: r["score"] for r in quality_classifier.score(docs.withColumn("score", docs["text"]), space).collect()}
-    assert got[1] == got[2] == 0.5 and got[3] > 0.8 and got[4] < 0.2
+    assert set(got) == {1, 2, 3, 4, 2**60 + 1, None} and got[1] == got[2] == got[None] == 0.5 and got[3] > 0.8 and got[4] < 0.2
     nothing = quality_classifier.Space(np.zeros((0, quality_classifier.TERMS), np.float32), np.zeros(0, np.float32))
     assert {r["score"] for r in quality_classifier.score(docs, nothing).collect()} == {0.5} and quality_classifier.score(docs.limit(0), space).count() == 0
     empty = spark.createDataFrame([], "doc_id long, quality int")
