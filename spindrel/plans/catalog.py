@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 from collections.abc import Callable
 
@@ -331,7 +332,10 @@ def _fetch(urls: DataFrame) -> DataFrame:
 
 def _work(spark) -> str:
     """A folder that all executors share, as the session names it; a local one only where none is named."""
-    return spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spindrel-")
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return named or tempfile.mkdtemp(prefix="spindrel-")
 
 
 def _module_links(spark):
