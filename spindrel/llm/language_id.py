@@ -22,12 +22,15 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from spindrel.llm.common import fold, words_of
+from spindrel.llm.common import fold, texts_of, with_id_type, words_of
 
 HIDDEN = 16
 SEGMENT = 24
 DOCS_A_LANGUAGE = 400
 WORDS_A_DOC = 25
+#: Labels that differ more aren't languages; they raise an error.
+MOST_LANGUAGES = 1000
+SPARE = 8
 EPOCHS = 5
 BATCH = 256
 RATE = 0.01
@@ -226,10 +229,20 @@ class Reader:
 
 def sample_words(docs: DataFrame, id_col: str, text_col: str, lang_col: str, docs_a_language: int = DOCS_A_LANGUAGE, words_a_doc: int = WORDS_A_DOC) -> tuple[list[bytes], list[str]]:
     """Words and their documents' languages, from the documents with the smallest id hashes of each language."""
-    order = Window.partitionBy(lang_col).orderBy(F.xxhash64(F.col(id_col).cast("string")), id_col)
-    # ranks above the bound are dropped before the shuffle too, and only ids and languages are read
-    chosen = docs.where(F.col(lang_col).isNotNull()).select(id_col, lang_col).withColumn("__n", F.row_number().over(order)).where(F.col("__n") <= docs_a_language).select(F.col(id_col).alias("__id"), F.col(lang_col).alias("__lang"))
-    rows = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).join(chosen, "__id").select("__id", "__text", "__lang")
+    known = docs.where(F.col(lang_col).isNotNull()).select(F.col(id_col).alias("__id"), F.col(lang_col).alias("__lang"), F.xxhash64(F.col(id_col).cast("string")).alias("__h"))
+    sizes = {r["__lang"]: r["count"] for r in known.groupBy("__lang").count().limit(MOST_LANGUAGES + 1).collect()}
+    if len(sizes) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages")
+    if not sizes:
+        return [], []
+    # hashes are even, so those below this bound are about SPARE times as many as are wanted: the smallest of a large language are few rows to rank
+    bound = {lang: int(2**64 * min(1.0, SPARE * docs_a_language / n)) - 2**63 for lang, n in sizes.items()}
+    below = F.create_map(*[F.lit(x) for lang, h in bound.items() for x in (lang, min(h, 2**63 - 1))])[F.col("__lang")]
+    order = Window.partitionBy("__lang").orderBy("__h", "__id")
+    ranked = known.where(F.col("__h") <= below).withColumn("__n", F.row_number().over(order)).where(F.col("__n") <= docs_a_language)
+    chosen = [(r["__id"], r["__lang"]) for r in ranked.select("__id", "__lang").collect()]  # at most docs_a_language a language
+    few = docs.sparkSession.createDataFrame(chosen, ranked.select("__id", "__lang").schema)
+    rows = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).join(F.broadcast(few), "__id").select("__id", "__text", "__lang")
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -248,7 +261,7 @@ def identify(docs: DataFrame, net: Network | None, id_col: str = "doc_id", text_
     """id, lang_pred, score of every row."""
     import pyspark.sql.types as T
 
-    schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    schema = T.StructType([T.StructField(id_col, T.StringType()), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
     predict = predictor(net)
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -257,7 +270,7 @@ def identify(docs: DataFrame, net: Network | None, id_col: str = "doc_id", text_
             langs, scores = judge(batch.iloc[:, 1].tolist())
             yield pd.DataFrame({id_col: batch.iloc[:, 0], "lang_pred": langs, "score": scores})
 
-    return docs.select(F.col(id_col), F.col(text_col).cast("string")).mapInPandas(work, schema)
+    return with_id_type(texts_of(docs, id_col, text_col).mapInPandas(work, schema), docs, id_col)
 
 
 def predictor(net: Network | None):
