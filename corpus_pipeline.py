@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from spindrel.llm import language_id, mixing, packing, simhash_dedup, substring_dedup
-from spindrel.llm.common import ensure_checkpoint_dir
+from spindrel.llm.common import ensure_checkpoint_dir, small_batches
 
 #: A document's language needs this share of its positions.
 LEAST_SCORE = 0.3
@@ -23,6 +23,7 @@ LEAST_SCORE = 0.3
 
 def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents without letters and those in which no language reaches LEAST_SCORE."""
+    small_batches(spark)
     start = language_id.predictor(language_id.fit(docs))
 
     @F.pandas_udf("struct<lang string, score double>")

@@ -32,8 +32,20 @@ def fold(doc_id: str, parts: int):
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % parts
 
 
+#: Rows an Arrow batch of texts holds at most: a batch is in memory on both sides, some of them at once, and texts can be long.
+TEXTS_A_BATCH = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Let the session's Arrow batches hold no more than TEXTS_A_BATCH rows; smaller settings stay."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= TEXTS_A_BATCH:
+        spark.conf.set(name, str(TEXTS_A_BATCH))
+
+
 def texts_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """id and text as strings: pandas would turn whole numbers with a null among them into floats."""
+    """id and text as strings, in small batches. Pandas would turn whole numbers with a null among them into floats."""
+    small_batches(docs.sparkSession)
     return docs.select(F.col(id_col).cast("string").alias(id_col), F.col(text_col).cast("string").alias("__text"))
 
 

@@ -34,10 +34,10 @@ SPARE = 8
 EPOCHS = 5
 BATCH = 256
 RATE = 0.01
-KNOWN = 300_000
+KNOWN = 150_000
 FOLDS, HELD_OUT = 4, 2
 #: Words taken from texts at once, and segments run at once: bounds on memory.
-_WORDS, _SEGMENTS = 200_000, 4096
+_WORDS, _SEGMENTS = 100_000, 2048
 _MARK = 32
 
 

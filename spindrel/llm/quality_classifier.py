@@ -33,9 +33,9 @@ THRESHOLD = 0.3
 LENGTHS, CASES, ENDS, RECUR, BUCKETS = 8, 4, 6, 3, 256
 SHAPES = LENGTHS * CASES * ENDS
 TERMS = SHAPES * RECUR + BUCKETS
-KNOWN = 400_000
+KNOWN = 200_000
 #: Words of a text counted at once and documents compared at once: bounds on memory.
-_WORDS, _BLOCK = 200_000, 512
+_WORDS, _BLOCK = 100_000, 512
 _ENDS = {c: 1 for c in b".,;:"} | {c: 2 for c in b"!?"} | {c: 3 for c in b"#*$%&"} | {c: 4 for c in b"|<>"}
 
 
