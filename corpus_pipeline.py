@@ -57,7 +57,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(docs)
+    """Documents arrive in the order in which the mixing stage wrote them, whatever the order in which their files are read."""
+    return packing.pack(docs, order=packing.file_order(docs))
 
 
 STAGES = [("language_id", keep_identified), ("simhash_dedup", drop_near_copies), ("substring_dedup", cut_passages), ("mix_sources", mix_sources), ("pack", pack)]

@@ -7,7 +7,7 @@ import tempfile
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -43,10 +43,10 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(name, str(TEXTS_A_BATCH))
 
 
-def texts_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """id and text as strings, in small batches. Pandas would turn whole numbers with a null among them into floats."""
+def texts_of(docs: DataFrame, id_col: str, text_col: str, more: dict[str, Column] | None = None) -> DataFrame:
+    """id and text as strings, and more columns, in small batches. Pandas would turn whole numbers with a null among them into floats."""
     small_batches(docs.sparkSession)
-    return docs.select(F.col(id_col).cast("string").alias(id_col), F.col(text_col).cast("string").alias("__text"))
+    return docs.select(F.col(id_col).cast("string").alias(id_col), F.col(text_col).cast("string").alias("__text"), *(c.alias(name) for name, c in (more or {}).items()))
 
 
 def with_id_type(rows: DataFrame, docs: DataFrame, id_col: str) -> DataFrame:

@@ -25,7 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spindrel.llm.common import durable, texts_of, with_id_type
@@ -100,30 +100,41 @@ class BestFit:
         return number
 
 
-def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit: int = LIMIT, end_id: int = END_ID) -> DataFrame:
-    """id, piece, start, length, ids_crc32 of every piece, and its order of arrival."""
+def file_order(docs: DataFrame) -> list[Column]:
+    """The place of a row in a table that Spark wrote in order: the numbers in its file's name, and its row in the file. Scans don't read files in
+    that order: they sort splits by length."""
+    name = docs.metadataColumn("_metadata").getField("file_name")
+    number = lambda pattern: F.coalesce(F.regexp_extract(name, pattern, 1).try_cast("long"), F.lit(0).cast("long"))
+    return [number(r"^part-(\d+)"), number(r"[-.]c(\d+)\."), docs.metadataColumn("_metadata").getField("row_index")]
+
+
+def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit: int = LIMIT, end_id: int = END_ID, order: list[Column] | None = None) -> DataFrame:
+    """id, piece, start, length, ids_crc32 of every piece, and its order of arrival: (order_0, order_1, ..., arrival), with order's whole numbers first if given."""
     import pyspark.sql.types as T
 
-    schema = T.StructType([T.StructField(id_col, T.StringType()), T.StructField("piece", T.IntegerType()), T.StructField("start", T.LongType()), T.StructField("length", T.LongType()), T.StructField("ids_crc32", T.LongType()), T.StructField("arrival", T.LongType())])
+    ordered = [f"order_{k}" for k in range(len(order or []))]
+    schema = T.StructType([T.StructField(id_col, T.StringType()), T.StructField("piece", T.IntegerType()), T.StructField("start", T.LongType()), T.StructField("length", T.LongType()), T.StructField("ids_crc32", T.LongType()), *(T.StructField(c, T.LongType()) for c in ordered), T.StructField("arrival", T.LongType())])
     end = array("I", [end_id]).tobytes()
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encode, arrival = Encoder(), TaskContext.get().partitionId() << 40
         for batch in batches:
             rows = []
-            for key, text in zip(batch.iloc[:, 0], batch.iloc[:, 1], strict=True):
+            for key, text, *place in zip(*(batch[c] for c in batch), strict=True):
                 ids = encode(text) + end
                 for n, (start, length) in enumerate(cut(len(ids) // 4, limit)):
-                    rows.append((key, n, start, length, zlib.crc32(ids[4 * start : 4 * (start + length)]), arrival))
+                    rows.append((key, n, start, length, zlib.crc32(ids[4 * start : 4 * (start + length)]), *place, arrival))
                     arrival += 1
             yield pd.DataFrame(rows, columns=schema.names)
 
-    return with_id_type(texts_of(docs, id_col, text_col).mapInPandas(work, schema), docs, id_col)
+    return with_id_type(texts_of(docs, id_col, text_col, dict(zip(ordered, order or [], strict=True))).mapInPandas(work, schema), docs, id_col)
 
 
-def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit: int = LIMIT, end_id: int = END_ID, most_open: int = OPEN, look_ahead: int = LOOK_AHEAD, pieces_per_task: int = PIECES_PER_TASK) -> DataFrame:
-    """One row a piece: id, piece, start, length, ids_crc32, sequence_id, offset."""
-    thin = durable(pieces(docs, id_col, text_col, limit, end_id))
+def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit: int = LIMIT, end_id: int = END_ID, most_open: int = OPEN, look_ahead: int = LOOK_AHEAD, pieces_per_task: int = PIECES_PER_TASK, order: list[Column] | None = None) -> DataFrame:
+    """One row a piece: id, piece, start, length, ids_crc32, sequence_id, offset. With order (whole numbers by which documents arrive), every task takes a
+    stretch of the arrivals, so sequence ids follow it; without, documents arrive as they are read."""
+    thin = durable(pieces(docs, id_col, text_col, limit, end_id, order))
+    arrival = [*(f"order_{k}" for k in range(len(order or []))), "arrival"]
     tasks = max(1, -(-thin.count() // pieces_per_task))
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -136,11 +147,12 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit:
                     placed[n] = bins.put(int(lengths[n]))
             batch["sequence_id"] = [base + s for s, _ in placed]
             batch["offset"] = [o for _, o in placed]
-            yield batch.drop(columns="arrival")
+            yield batch.drop(columns=arrival)
 
     named = thin.withColumn(id_col, F.col(id_col).cast("string"))
-    schema = named.drop("arrival").schema.add("sequence_id", "long").add("offset", "long")
-    return with_id_type(named.repartition(tasks).sortWithinPartitions("arrival").mapInPandas(work, schema), docs, id_col)
+    schema = named.drop(*arrival).schema.add("sequence_id", "long").add("offset", "long")
+    dealt = named.repartitionByRange(tasks, *arrival) if order else named.repartition(tasks)
+    return with_id_type(dealt.sortWithinPartitions(*arrival).mapInPandas(work, schema), docs, id_col)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -158,3 +158,22 @@ def test_pipeline(spark, tmp_path):
     assert seen["mix_sources"] == cut
     final = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert {r["doc_id"] for r in final} == set(cut)
+
+
+def test_pack_takes_arrivals_in_mixing_order_after_a_reread(spark, tmp_path):
+    rng = random.Random(5)
+    rows = [(k, " ".join(rng.choices("abcdefgh", k=rng.choice((3, 30, 200 if k > 2000 else 5)))), f"s{k % 3}") for k in range(3000)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    mixed = mixing.mix(table, {"s0": 5.0, "s1": 2.0, "s2": 1.0}, block_chars=2000)
+    want = [r["doc_id"] for r in mixed.orderBy("mix_slot", "mix_start").collect()]
+    mixing.in_order(table, mixed, 12).write.option("maxRecordsPerFile", 100).parquet(str(tmp_path / "laid"))
+    docs = spark.read.parquet(str(tmp_path / "laid"))
+    thin = packing.pieces(docs, order=packing.file_order(docs)).orderBy("order_0", "order_1", "order_2", "arrival").collect()
+    assert [r["doc_id"] for r in thin if r["piece"] == 0] == want
+    place = {key: k for k, key in enumerate(want)}
+    for per_task in (10**6, 700):  # one piece a look-ahead, one open sequence: what is packed first comes first
+        got = packing.pack(docs, most_open=1, look_ahead=1, pieces_per_task=per_task, order=packing.file_order(docs)).orderBy("sequence_id", "offset").collect()
+        assert [place[r["doc_id"]] for r in got] == list(range(len(want)))
+    stage = {r["doc_id"]: r["sequence_id"] for r in corpus_pipeline.pack(spark, docs, str(tmp_path)).collect()}
+    plain = {r["doc_id"]: r["sequence_id"] for r in packing.pack(spark.createDataFrame([(k, rows[k][1]) for k in want], "doc_id long, text string").coalesce(1)).collect()}
+    assert stage == plain
