@@ -5,11 +5,12 @@ must be by slot ceil((k + 1) / w) (deadline). Slots go one after another to the
 never misses a deadline, so after any number of slots each source is less than one block from its weight. When a source has
 no blocks left, a new phase begins with the weights of the others in proportion.
 
-Weights are rounded to parts of a period of ``PERIOD`` slots (largest remainders, one part at least). A phase's schedule then repeats every
-period, so the driver schedules one period a phase, from one number a source, and every document's slot follows by arithmetic from its block:
-nothing grows with the corpus but the running offsets inside a source, and those are sums within hash buckets of it plus prefix
+The weights are taken exactly, as the fractions that the floating-point numbers are, so the distance from them doesn't grow with the corpus and no
+weight is too small. The driver schedules block by block: a number a block (0.5 million blocks at 30 GB), from one number a source, and every
+document's slot follows from its block. The running offsets inside a source are sums within hash buckets of it plus prefix
 sums over buckets, so a source with a third of all rows is many tasks' work. The number of sources is bounded by ``MOST_SOURCES``: weights are
-a table that people write, and more sources raise an error.
+a table that people write, and more sources raise an error. A caller that names a ``period`` has the weights rounded to parts of it (largest remainders,
+one part at least) and that period repeated: a short schedule, which is less than one block from the rounded weights.
 
 Every document is placed exactly once. Cases: a null source is a source of its own; a source that the weights don't name, or with weight zero, comes after all
 others in proportion to size; a null or empty text counts as one character. Ties of ids are ordered by text; repeated rows are placed each. A
@@ -19,8 +20,10 @@ document longer than a block leaves its source's next slots empty, which it has
 from __future__ import annotations
 
 import heapq
+from array import array
 from bisect import bisect_left
-from math import ceil, log2
+from fractions import Fraction
+from math import ceil, gcd, lcm, log2
 
 import numpy as np
 import pandas as pd
@@ -28,7 +31,6 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 BLOCK_CHARS = 65_536
-PERIOD = 4096
 MOST_SOURCES = 1024
 #: Where no weights are given: a source's share of all characters to this power.
 TEMPERATURE = 0.5
@@ -65,19 +67,48 @@ def one_period(parts: list[int]) -> list[list[int]]:
     return slots
 
 
+def one_phase(weights: list[float], left: list[int]) -> list[np.ndarray]:
+    """The slots of each source by earliest deadline first and the exact weights, until a source has placed its blocks that are left."""
+    shares = [Fraction(w) for w in weights]
+    whole = lcm(*(w.denominator for w in shares))
+    parts = [int(w * whole) for w in shares]
+    common = gcd(*parts)
+    parts = [q // common for q in parts]
+    total = sum(parts)
+    slots, ready, later, t = [array("q") for _ in parts], [], [(0, -(-total // q), s) for s, q in enumerate(parts)], 0
+    heapq.heapify(later)
+    while True:
+        while later and later[0][0] <= t:
+            heapq.heappush(ready, heapq.heappop(later)[1:])
+        deadline, s = heapq.heappop(ready)
+        if t >= deadline:
+            raise AssertionError("a block missed its deadline")
+        slots[s].append(t)
+        t += 1
+        k, q = len(slots[s]), parts[s]
+        if k == left[s]:
+            return [np.array(x, np.int64) for x in slots]
+        heapq.heappush(later, (k * total // q, -(-(k + 1) * total // q), s))
+
+
 class Schedule:
     """The slot of block k of a source, phase by phase."""
 
-    def __init__(self, blocks: list[int], weights: list[float], period: int = PERIOD):
+    def __init__(self, blocks: list[int], weights: list[float], period: int | None = None):
         self.first = [[] for _ in blocks]  # of each phase: its first block, first slot, slots in a period, period
         left, at, done = list(blocks), 0, [0] * len(blocks)
         stages = [[s for s in range(len(blocks)) if weights[s] > 0], [s for s in range(len(blocks)) if weights[s] <= 0]]
         for stage in stages:
             while active := [s for s in stage if left[s]]:
                 own = [weights[s] if weights[s] > 0 else float(blocks[s]) for s in active]
-                parts = quotas(own, max(period, 4 * len(active)))
-                slots, length = one_period(parts), sum(parts)
-                end = min((left[s] - 1) // q * length + slots[k][(left[s] - 1) % q] for k, (s, q) in enumerate(zip(active, parts, strict=True))) + 1
+                if period is None:
+                    slots = one_phase(own, [left[s] for s in active])
+                    parts = [len(x) for x in slots]
+                    end = length = sum(parts)
+                else:
+                    parts = quotas(own, max(period, 4 * len(active)))
+                    slots, length = one_period(parts), sum(parts)
+                    end = min((left[s] - 1) // q * length + slots[k][(left[s] - 1) % q] for k, (s, q) in enumerate(zip(active, parts, strict=True))) + 1
                 for k, (s, q) in enumerate(zip(active, parts, strict=True)):
                     self.first[s].append((done[s], at, np.array(slots[k]), length))
                     took = end // length * q + bisect_left(slots[k], end % length)
@@ -99,7 +130,7 @@ class Schedule:
         return slot, which
 
 
-def mix(docs: DataFrame, weights: dict[str, float] | None = None, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", block_chars: int = BLOCK_CHARS, temperature: float = TEMPERATURE, period: int = PERIOD) -> DataFrame:
+def mix(docs: DataFrame, weights: dict[str, float] | None = None, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", block_chars: int = BLOCK_CHARS, temperature: float = TEMPERATURE, period: int | None = None) -> DataFrame:
     """docs with mix_start (characters of its source before it), mix_block, mix_phase (of its source) and mix_slot. Order by (mix_slot, mix_start)."""
     buckets = 1 << max(6, ceil(log2(max(1, docs.count() / ROWS_A_BUCKET))))
     named = F.coalesce(F.concat(F.lit("="), F.col(source_col).cast("string")), F.lit(""))
@@ -113,7 +144,7 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, id_col: str =
     whole = sum(t for _, t in totals) or 1
     target = [(t / whole) ** temperature if weights is None else weights.get(s[1:] if s else None, 0.0) for s, t in totals]
     number = {s: k for k, (s, _) in enumerate(totals)}
-    schedule = docs.sparkSession.sparkContext.broadcast(Schedule([-(-t // block_chars) for _, t in totals], target, period))  # at most MOST_SOURCES x period numbers
+    schedule = docs.sparkSession.sparkContext.broadcast(Schedule([-(-t // block_chars) for _, t in totals], target, period))  # a number a block
 
     @F.pandas_udf("struct<slot long, phase int>")
     def placed(source: pd.Series, block: pd.Series) -> pd.DataFrame:

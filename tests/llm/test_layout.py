@@ -4,6 +4,7 @@ import random
 import zlib
 from array import array
 from collections import defaultdict
+from fractions import Fraction
 
 import duckdb
 import public_tokenizers
@@ -111,6 +112,29 @@ def test_schedule_keeps_within_a_block():
         assert all(abs(count[s] - (t + 1) * parts[s] / 512) < 1 for s in range(10))
 
 
+def test_schedule_keeps_within_a_block_of_the_exact_weights():
+    for weights, blocks in (([1.0, 1.0, 1.0], [20_000, 19_000, 18_000]), ([1.0, 1e-4, 0.3], [30_000, 50, 9000]), ([0.7, 0.1, 1e-12], [3000, 900, 2])):
+        plan = mixing.Schedule(blocks, weights)
+        where = [plan.place(s, mixing.np.arange(n)) for s, n in enumerate(blocks)]
+        assert sorted(mixing.np.concatenate([w[0] for w in where]).tolist()) == list(range(sum(blocks))) and plan.slots == sum(blocks)
+        ends, active = sorted(int(w[0][-1]) + 1 for w in where), {0, 1, 2}
+        at = 0
+        for end in ends:  # a phase ends where a source is used up
+            whole = sum(Fraction(weights[s]) for s in active)
+            for s in active:
+                own = where[s][0][(where[s][0] >= at) & (where[s][0] < end)] - at
+                share = Fraction(weights[s]) / whole
+                assert all(-1 < k - t * share and k + 1 - (t + 1) * share < 1 for k, t in enumerate(own.tolist())) and abs(len(own) - (end - at) * share) < 1
+            active -= {s for s in active if where[s][0][-1] < end}
+            at = end
+
+
+def test_mix_uses_the_exact_weights(spark):
+    table = spark.range(24_000).select(F.col("id").alias("doc_id"), F.lit("x" * 10).alias("text"), (F.col("id") % 3).cast("string").alias("source"))
+    got = mixing.mix(table, {"0": 1.0, "1": 1.0, "2": 1.0}, block_chars=10).where("source = '0'").select("mix_slot").collect()
+    assert all(abs(k - t / 3) < 1 for k, t in enumerate(sorted(r["mix_slot"] for r in got)))
+
+
 def test_unnamed_and_weightless_sources_come_last():
     plan = mixing.Schedule([3, 5], [1.0, 0.0], 16)
     assert plan.place(0, mixing.np.arange(3))[0].tolist() == [0, 1, 2] and plan.place(1, mixing.np.arange(5))[0].tolist() == [3, 4, 5, 6, 7]
