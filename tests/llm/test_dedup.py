@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -227,5 +228,37 @@ def test_passages(spark):
     assert substring_dedup.passages(table.limit(0)).count() == 0
 
 
+def _has_passage(same):
+    """Whether a span of 50 or more words, from an equal one to an equal one, has 80 % of them equal: by trying all."""
+    hits = [k for k, x in enumerate(same) if x]
+    return any(j - i + 1 >= 50 and sum(same[i : j + 1]) >= 0.8 * (j - i + 1) for i in hits for j in hits if j > i)
+
+
+def test_fuzzy_passages_are_found_as_by_brute_force(spark):
+    rng, rows, want = random.Random(11), [], {}
+    words = [f"v{k}" for k in range(20_000)]
+    for n in (50, 60, 80, 120):
+        for rate in (0.1, 0.15, 0.2):
+            for _ in range(12):
+                passage, k = rng.choices(words, k=n), len(want)
+                changed = set(rng.sample(range(n), round(rate * n)))
+                edited = [rng.choice(words) if j in changed else w for j, w in enumerate(passage)]
+                rows += [(k, " ".join(rng.choices(words, k=70) + passage + rng.choices(words, k=70))), (1000 + k, " ".join(rng.choices(words, k=90) + edited + rng.choices(words, k=50)))]
+                want[1000 + k] = _has_passage([x == y for x, y in zip(passage, edited, strict=True)])
+    found = substring_dedup.passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert all(r["partner"] == r["doc_id"] - 1000 and r["identity"] >= 0.8 for r in found)
+    due = {k for k, x in want.items() if x}
+    got = {r["doc_id"] for r in found}
+    assert got <= due and len(got) >= 0.95 * len(due) > 100
+
+
+def test_repeated_words_are_chained_in_one_sweep():
+    n = 3000  # runs that all meet one place, and runs on diagonals of their own
+    for parts in ([[k, k + 5, 7, 12] for k in range(n)], [[2 * k, 2 * k + 5, (37 * k) % n, (37 * k) % n + 5] for k in range(n)]):
+        start = time.perf_counter()
+        found = substring_dedup.chains(np.array(parts))
+        assert time.perf_counter() - start < 5 and found[0][1] - found[0][0] >= 5
+
+
 def test_cut_words_keeps_the_rest():
     assert substring_dedup.cut_words("a  b\nc d", [(1, 2)]) == "a  c d" and substring_dedup.cut_words("a b", [(0, 2)]) == "" and substring_dedup.cut_words("a b c", [(0, 2), (1, 3)]) == ""
