@@ -252,6 +252,25 @@ def test_fuzzy_passages_are_found_as_by_brute_force(spark):
     assert got <= due and len(got) >= 0.95 * len(due) > 100
 
 
+def test_passages_whose_phrases_earlier_documents_hold_keep_their_partner(spark, monkeypatch):
+    rng = random.Random(12)
+    words = [f"v{k}" for k in range(20_000)]
+    passages = [rng.choices(words, k=56) for _ in range(12)]
+    rows = []
+    for n, passage in enumerate(passages):  # phrases of seven words of the passage, each in an earlier document of its own
+        rows += [(100 * n + j, " ".join(rng.choices(words, k=30) + passage[7 * j : 7 * j + 7] + rng.choices(words, k=30))) for j in range(8)]
+        edited = [w if j % 11 != 10 else "new" for j, w in enumerate(passage)]
+        rows += [(5000 + n, " ".join(passage + rng.choices(words, k=40))), (9000 + n, " ".join(rng.choices(words, k=90) + edited + rng.choices(words, k=40)))]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    for hot in (substring_dedup.HOT, 1):
+        monkeypatch.setattr(substring_dedup, "HOT", hot)
+        found = {(r["doc_id"], r["partner"]) for r in substring_dedup.passages(table).collect()}
+        if hot > 1:
+            assert found == {(9000 + n, 5000 + n) for n in range(12)}
+        else:  # dealt over parts, each seed still has its first holder
+            assert found <= {(9000 + n, 5000 + n) for n in range(12)}
+
+
 def test_repeated_words_are_chained_in_one_sweep():
     n = 3000  # runs that all meet one place, and runs on diagonals of their own
     for parts in ([[k, k + 5, 7, 12] for k in range(n)], [[2 * k, 2 * k + 5, (37 * k) % n, (37 * k) % n + 5] for k in range(n)]):
