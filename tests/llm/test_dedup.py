@@ -271,6 +271,27 @@ def test_passages_whose_phrases_earlier_documents_hold_keep_their_partner(spark,
             assert found <= {(9000 + n, 5000 + n) for n in range(12)}
 
 
+def test_cover_takes_no_words_that_are_new(spark):
+    rng = random.Random(13)
+    words = [f"v{k}" for k in range(20_000)]
+    phrases = [rng.choices(words, k=20) for _ in range(4)]
+    rows = [(k, " ".join(rng.choices(words, k=30) + phrase + rng.choices(words, k=30))) for k, phrase in enumerate(phrases)]
+    stitched = [w for phrase in phrases for w in [*phrase, "new", "words"]]  # of four documents, with words between that none holds
+    rows.append((9, " ".join(rng.choices(words, k=20) + stitched + rng.choices(words, k=20))))
+    assert substring_dedup.passages(spark.createDataFrame(rows, "doc_id long, text string")).count() == 0
+    assert substring_dedup.WINDOW <= substring_dedup.K
+
+
+def test_exact_repeats_of_dealt_seeds_are_found(spark, monkeypatch):
+    monkeypatch.setattr(substring_dedup, "HOT", 1)
+    rng = random.Random(14)
+    words = [f"v{k}" for k in range(20_000)]
+    passage = rng.choices(words, k=80)
+    rows = [(k, " ".join(rng.choices(words, k=40) + passage + rng.choices(words, k=40))) for k in range(12)]
+    found = substring_dedup.passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r["doc_id"], r["start"], r["end"]) for r in found} >= {(k, 40, 120) for k in range(1, 12)} and 0 in {r["partner"] for r in found}
+
+
 def test_repeated_words_are_chained_in_one_sweep():
     n = 3000  # runs that all meet one place, and runs on diagonals of their own
     for parts in ([[k, k + 5, 7, 12] for k in range(n)], [[2 * k, 2 * k + 5, (37 * k) % n, (37 * k) % n + 5] for k in range(n)]):
