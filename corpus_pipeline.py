@@ -22,9 +22,13 @@ LEAST_SCORE = 0.3
 
 
 def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents without letters and those in which no language reaches LEAST_SCORE."""
+    """Rejects documents without letters and those in which no language reaches LEAST_SCORE. Where there is nothing to learn languages from (no
+    labelled document with a word outside the held-out fold), it rejects those without letters alone."""
     small_batches(spark)
-    start = language_id.predictor(language_id.fit(docs))
+    net = language_id.fit(docs)
+    if net is None:
+        return docs.where(F.col("text").cast("string").rlike(r"\p{L}"))
+    start = language_id.predictor(net)
 
     @F.pandas_udf("struct<lang string, score double>")
     def judged(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:

@@ -201,3 +201,10 @@ def test_pack_takes_arrivals_in_mixing_order_after_a_reread(spark, tmp_path):
     stage = {r["doc_id"]: r["sequence_id"] for r in corpus_pipeline.pack(spark, docs, str(tmp_path)).collect()}
     plain = {r["doc_id"]: r["sequence_id"] for r in packing.pack(spark.createDataFrame([(k, rows[k][1]) for k in want], "doc_id long, text string").coalesce(1)).collect()}
     assert stage == plain
+
+
+def test_pipeline_keeps_texts_with_letters_where_no_language_can_be_learned(spark, tmp_path):
+    rows = [(1, "the and of", None), (2, "123 ...", None), (3, None, None), (4, "", None), (5, "größe", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    left = corpus_pipeline.keep_identified(spark, docs, str(tmp_path))
+    assert left.columns == docs.columns and {r["doc_id"] for r in left.collect()} == {1, 5}
