@@ -274,10 +274,11 @@ def test_passages_whose_phrases_earlier_documents_hold_keep_their_partner(spark,
 def test_cover_takes_no_words_that_are_new(spark):
     rng = random.Random(13)
     words = [f"v{k}" for k in range(20_000)]
-    phrases = [rng.choices(words, k=20) for _ in range(4)]
+    phrases = [rng.choices(words, k=20) for _ in range(120)]
     rows = [(k, " ".join(rng.choices(words, k=30) + phrase + rng.choices(words, k=30))) for k, phrase in enumerate(phrases)]
-    stitched = [w for phrase in phrases for w in [*phrase, "new", "words"]]  # of four documents, with words between that none holds
-    rows.append((9, " ".join(rng.choices(words, k=20) + stitched + rng.choices(words, k=20))))
+    for n in range(30):  # of four documents each, with words between that none holds
+        stitched = [w for phrase in phrases[4 * n : 4 * n + 4] for w in [*phrase, f"new{n}"]]
+        rows.append((900 + n, " ".join(rng.choices(words, k=20) + stitched + rng.choices(words, k=20))))
     assert substring_dedup.passages(spark.createDataFrame(rows, "doc_id long, text string")).count() == 0
     assert substring_dedup.WINDOW <= substring_dedup.K
 
