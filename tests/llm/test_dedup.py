@@ -182,10 +182,65 @@ def test_chains_are_best_and_collinear():
     parts = np.array([[0, 10, 0, 10], [12, 20, 13, 21], [15, 25, 400, 410], [300, 310, 30, 40]])
     found = substring_dedup.chains(parts)
     assert found[0] == (0, 20, 0, 21) and len(found) == 3
-    tree = substring_dedup.Fenwick(8)
-    for at, v in ((3, 1.0), (5, 4.0), (1, 2.0)):
-        tree.put(at, (v, at))
-    assert [tree.below(k)[0] for k in (0, 2, 4, 6, 8)] == [float("-inf"), 2.0, 2.0, 4.0, 4.0]
+    # an equal run before, too far away, doesn't hide the one that can be reached
+    reached = [[90, 115, 90, 115], [129, 178, 130, 179]]
+    assert substring_dedup.chains(np.array(reached)) == [(90, 178, 90, 179)]
+    assert substring_dedup.chains(np.array([[0, 48, 0, 48], *reached])) == [(90, 178, 90, 179), (0, 48, 0, 48)]
+
+
+def test_fenwick_ranges():
+    rng, n = random.Random(3), 37
+    tree, plain = substring_dedup.Fenwick(n), [substring_dedup.Fenwick.NONE] * n
+    for k in range(600):
+        at = rng.randrange(n)
+        if plain[at] == substring_dedup.Fenwick.NONE:
+            plain[at] = (float(rng.randrange(50)), k)
+            tree.put(at, plain[at])
+        else:
+            plain[at] = substring_dedup.Fenwick.NONE
+            tree.drop(at)
+        low, high = sorted((rng.randrange(n + 1), rng.randrange(n + 1)))
+        assert tree.within(low, high) == max(plain[low:high], default=substring_dedup.Fenwick.NONE)
+
+
+def test_chains_score_as_by_trying_all_predecessors():
+    rng, K, gap, cost = random.Random(4), substring_dedup.K, substring_dedup.MOST_GAP, substring_dedup.GAP_COST
+    for _ in range(60):
+        rows = []
+        for _ in range(rng.randrange(1, 60)):
+            q, p, length = rng.randrange(250), rng.randrange(250), K + rng.randrange(30)
+            rows.append([q, q + length, p, p + length])
+        rows.sort()
+        best = {}
+        for k in sorted(range(len(rows)), key=lambda k: rows[k][0]):
+            q0, q1, p0, _ = rows[k]
+            before = [best[j] - cost * ((q0 - b[1]) + (p0 - b[3])) / 2 for j, b in enumerate(rows) if b[1] - K + 1 <= q0 <= b[1] + gap and b[3] - K + 1 <= p0 <= b[3] + gap]
+            best[k] = q1 - q0 + max([0.0, *before])
+        score, _ = substring_dedup.scored(np.array(rows))
+        assert np.allclose(score, [best[k] for k in range(len(rows))])
+
+
+def test_an_earlier_match_hides_no_passage(spark):
+    rng, rows = random.Random(5), []
+    words = [f"v{k}" for k in range(20_000)]
+    for n in range(20):  # 48 equal words, 42 others, then 25 equal, 13 changed to 14, 49 equal
+        head, middle, tail = (rng.choices(words, k=k) for k in (48, 25, 49))
+        rows += [(n, " ".join(head + rng.choices(words, k=42) + middle + rng.choices(words, k=13) + tail)), (100 + n, " ".join(head + rng.choices(words, k=42) + middle + rng.choices(words, k=14) + tail))]
+    found = substring_dedup.passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert all(any(r["doc_id"] == 100 + n and r["start"] <= 95 and r["end"] >= 170 for r in found) for n in range(20))
+
+
+def test_passages_of_repeated_ids(spark):
+    rng = random.Random(16)
+    words = [f"v{k}" for k in range(20_000)]
+    passage, other, texts = rng.choices(words, k=80), rng.choices(words, k=90), []
+    texts = sorted((" ".join(rng.choices(words, k=20) + passage), " ".join(other)), key=lambda t: spark.sql(f"select xxhash64('{t}')").first()[0])
+    rows = [(1, " ".join(passage)), (1, " ".join(passage)), (2, " ".join(other))] + [(7, t) for t in texts * 3]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = substring_dedup.passages(table)
+    assert {(r["doc_id"], r["partner"]) for r in found.collect()} == {(7, 1 if passage[0] in texts[0] else 2)}
+    left = sorted((r["doc_id"], len(r["text"].split())) for r in substring_dedup.remove_passages(table, found).collect())
+    assert left == sorted([(1, 80), (1, 80), (2, 90)] + [(7, n) for t in (texts[1],) * 3 for n in (len(t.split()),)] + ([(7, 20)] * 3 if passage[0] in texts[0] else []))
 
 
 def test_alignment():
