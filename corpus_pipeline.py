@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from spindrel.llm import language_id, mixing, packing, simhash_dedup, substring_dedup
-from spindrel.llm.common import ensure_checkpoint_dir, small_batches
+from spindrel.llm.common import ensure_checkpoint_dir, small_batches, written
 
 #: A document's language needs this share of its positions.
 LEAST_SCORE = 0.3
@@ -53,7 +53,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def cut_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return substring_dedup.remove_passages(docs, substring_dedup.passages(docs))
+    return substring_dedup.remove_passages(docs, written(substring_dedup.passages(docs)))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -69,9 +69,8 @@ STAGES = [("language_id", keep_identified), ("simhash_dedup", drop_near_copies),
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents; what stands between them is written to the shared checkpoint folder."""
-    ensure_checkpoint_dir(spark)
-    folder = f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/pipeline-{uuid4().hex}"
+    """All stages over documents; what stands between them is written to the application's folder below spark.checkpoint.dir, which goes when it ends."""
+    folder = f"{ensure_checkpoint_dir(spark)}/pipeline-{uuid4().hex}"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
