@@ -4,7 +4,7 @@ Two independent codebooks, one for each half of a vector, form a product grid; a
 Each vector visits the cells nearest to it by multi-sequence traversal (a heap over the two sorted centroid lists) and is compared
 exactly, in double precision, with the vectors that live there. How many cells are visited is set by the target recall: the fit
 sample's vectors are moved to partners at just the threshold, the hardest pairs there are, and the traversal goes as deep as
-``TARGET`` of them need. Codebooks are fitted on ``FIT`` vectors; every vector is indexed and every vector visits.
+``TARGET`` of them need. Codebooks are fitted on a bounded sample (``MOST_FIT``); every vector is indexed and every vector visits.
 
 Equal vectors of a label are one row from the start. A cell whose rows are many is compared in sub-blocks, two and two, in tasks of
 their own. A pair is found if either end visits the other's cell and counts once at both ends, so link counts are symmetric. Tasks
@@ -28,10 +28,10 @@ from spindrel.llm.graph import components
 
 THRESHOLD = 0.93
 TARGET = 0.99
-FIT = 4096
-#: Vectors a cell holds on average, by which the number of centroids grows with the table.
-A_CELL = 64
-MOST_CENTROIDS = 256
+#: Vectors that the index is fitted on: so many for each centroid of a half, and at least and at most these.
+FIT_A_CENTROID, LEAST_FIT, MOST_FIT = 16, 4096, 65_536
+#: Vectors of the largest label that a cell holds on average, by which the number of centroids grows with the table (to MOST_FIT / FIT_A_CENTROID a half: 16.8 million cells).
+A_CELL = 256
 SUB_BLOCK = 2048
 _ROWS = 512
 
@@ -112,14 +112,15 @@ def _comparable(vector: str, label: str):
 
 def near_vectors(table: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", threshold: float = THRESHOLD, target: float = TARGET, sub_block: int = SUB_BLOCK) -> DataFrame:
     """id, n_links, component_id, kept: one row a row of table."""
-    v = F.col(vector_col).cast("array<double>")
+    kind = "array<float>" if table.schema[vector_col].dataType.simpleString() == "array<float>" else "array<double>"  # floats move as floats and are compared as doubles
+    v = F.col(vector_col).cast(kind)
     rows = table.select(F.col(id_col).alias("id"), F.col(label_col).alias("label"), v.alias("v"), _comparable(vector_col, label_col).alias("ok"))
     keyed = lambda df: df.withColumns({"h1": F.xxhash64("v"), "h2": F.xxhash64(F.lit(1), "v")})
     own = keyed(rows.where("ok"))
     classes = own.groupBy("label", "h1", "h2").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("n"), F.first("v").alias("v"))
     classes = durable(classes.withColumn("class", F.monotonically_increasing_id()))
-    count = classes.count()
-    found = _linked(classes, count, threshold, target, sub_block)
+    largest = classes.groupBy("label").count().agg(F.max("count")).first()[0] or 0
+    found = durable(_linked(classes, largest, threshold, target, sub_block))
     per = found.groupBy(F.col("a").alias("class")).agg(F.sum("links").alias("links"))
     roots = components(found.where("b is not null"), "a", "b").withColumnRenamed("node", "class")
     each = classes.select("label", "h1", "h2", "least", "n", "class").join(per, "class", "left").join(roots, "class", "left").withColumn("root", F.coalesce("root", "class"))
@@ -130,18 +131,19 @@ def near_vectors(table: DataFrame, id_col: str = "vec_id", vector_col: str = "em
     return good.unionByName(rest).select(F.col("id").alias(id_col), "n_links", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
-def fit(classes: DataFrame, count: int, threshold: float, target: float, most: int = FIT) -> dict[int, MultiIndex]:
+def fit(classes: DataFrame, largest: int, threshold: float, target: float) -> dict[int, MultiIndex]:
     """An index for each width of vectors in the sample (that of the smallest hashes)."""
+    wanted = max(2, round((largest / A_CELL) ** 0.5))
+    most = int(np.clip(FIT_A_CENTROID * wanted, LEAST_FIT, MOST_FIT))
     got = classes.select("v", F.xxhash64("h1", "h2").alias("o")).orderBy("o").limit(most).collect()
     by_width: dict[int, list] = {}
     for r in got:
         by_width.setdefault(len(r["v"]), []).append(r["v"])
-    centroids = int(np.clip(round((count / A_CELL) ** 0.5), 2, MOST_CENTROIDS))
     out = {}
     for width, vectors in by_width.items():
         if width > 1 and len(vectors) > 1:
             x = np.array(vectors, np.float64)
-            out[width] = MultiIndex(_unit(x), min(centroids, len(vectors)), threshold, target)
+            out[width] = MultiIndex(_unit(x), min(wanted, max(2, len(vectors) // FIT_A_CENTROID)), threshold, target)
     return out
 
 
@@ -150,29 +152,32 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def _linked(classes: DataFrame, count: int, threshold: float, target: float, sub_block: int) -> DataFrame:
+def _linked(classes: DataFrame, largest: int, threshold: float, target: float, sub_block: int) -> DataFrame:
     """(a, links, b): what class a links with in one task, and a link of that task's forest (or null)."""
-    index = fit(classes, count, threshold, target)
+    index = fit(classes, largest, threshold, target)
+    keys = ["k0", "k1", "k2", "cell"]
+    thin = classes.select(F.xxhash64("label", F.size("v")).alias("k0"), F.col("label").cast("string").alias("k1"), F.size("v").alias("k2"), "class", "n", "v")
 
     def place(batches):
         for batch in batches:
             seen = [None] * len(batch)
-            widths = batch["v"].map(len).to_numpy()
+            widths = batch["k2"].to_numpy()
             for width in np.unique(widths):
                 at = np.flatnonzero(widths == width)
                 if width in index:
-                    cells = index[width].cells(_unit(np.stack(batch["v"].to_numpy()[at])))
+                    cells = index[width].cells(_unit(np.stack(batch["v"].to_numpy()[at]).astype(np.float64)))
                     for k, c in zip(at, cells, strict=True):
                         seen[k] = c
                 else:  # too few of this width to fit an index: all are in one cell
                     for k in at:
                         seen[k] = np.zeros(1, np.int32)
-            yield pd.DataFrame({"class": batch["class"], "seen": seen})
+            yield batch.assign(seen=seen)
 
-    placed = classes.select("class", "v").mapInPandas(place, "class long, seen array<int>")
-    placed = durable(classes.select("class", "label", "n", "v").join(placed, "class"))
-    rows = placed.select(F.xxhash64("label", F.size("v")).alias("k0"), F.col("label").cast("string").alias("k1"), F.size("v").alias("k2"), "class", "n", "v", "seen", F.explode("seen").alias("cell"))
-    keys = ["k0", "k1", "k2", "cell"]
+    kind = thin.schema["v"].dataType.simpleString()
+    placed = durable(thin.mapInPandas(place, f"k0 long, k1 string, k2 int, class long, n long, v {kind}, seen array<int>"))
+    # a vector goes to the cells it visits; what it visits goes along to its own cell only
+    home = F.col("seen")[0]
+    visits = placed.withColumn("cell", F.explode("seen")).withColumns({"home": home, "seen": F.when(F.col("cell") == home, F.col("seen"))})
 
     def compare(own: pd.DataFrame) -> pd.DataFrame:
         group = group_numbers(own, [*keys, "p", "q"])
@@ -180,36 +185,34 @@ def _linked(classes: DataFrame, count: int, threshold: float, target: float, sub
         parts = [_block(own.iloc[a:b], threshold) for a, b in zip(cuts, cuts[1:], strict=False) if b - a > 1]
         return pd.concat(parts, ignore_index=True) if parts else pd.DataFrame({"a": [], "links": [], "b": []}).astype({"a": "int64", "links": "int64", "b": "Int64"})
 
-    return deal(rows, keys, "class", sub_block).mapInPandas(lambda batches: by_group(batches, [*keys, "p", "q"], compare), "a long, links long, b long")
+    return deal(visits, keys, "class", sub_block).mapInPandas(lambda batches: by_group(batches, [*keys, "p", "q"], compare), "a long, links long, b long")
 
 
 def _block(own: pd.DataFrame, threshold: float) -> pd.DataFrame:
-    x = np.stack(own["v"].to_numpy())
+    """All rows of a cell, residents and visitors, against its residents."""
+    x = np.stack(own["v"].to_numpy()).astype(np.float64)
     norm = np.sqrt((x * x).sum(axis=1))
     if not (np.isfinite(norm) & (norm > 0)).all():  # squares out of range: scale first, which leaves the cosine as it is
         x = x / np.abs(x).max(axis=1, keepdims=True)
         norm = np.sqrt((x * x).sum(axis=1))
-    n, weight, side, cls = len(own), own["n"].to_numpy(), own["side"].to_numpy(), own["class"].to_numpy()
-    cell = own["cell"].iloc[0]
-    seen = own["seen"].to_numpy()
-    home = np.array([s[0] for s in seen])
-    lives = home == cell
+    n, weight, side, cls, home = len(own), own["n"].to_numpy(), own["side"].to_numpy(), own["class"].to_numpy(), own["home"].to_numpy()
+    lives = home == own["cell"].iloc[0]
+    living = np.flatnonzero(lives)
     homes, which = np.unique(home, return_inverse=True)
-    reaches = np.stack([np.isin(homes, s) for s in seen])  # row r visits homes[c]
+    reaches = np.stack([np.isin(homes, s) for s in own["seen"].to_numpy()[living]]) if len(living) else np.zeros((0, len(homes)), bool)  # resident r visits homes[c]
     links, label = np.zeros(n, np.int64), np.arange(n)
-    for k in range(0, n, _ROWS):
+    for k in range(0, n if len(living) else 0, _ROWS):
         i = np.arange(k, min(n, k + _ROWS))
-        hit = (x[i] @ x.T) / (norm[i][:, None] * norm[None, :]) >= threshold
-        hit &= lives[i][:, None] | lives[None, :]
-        hit[np.arange(len(i)), i] = False
-        if side[0] >= 0 or (side >= 0).any():
-            hit &= side[i][:, None] != side[None, :]
+        hit = (x[i] @ x[living].T) / (norm[i][:, None] * norm[living][None, :]) >= threshold
+        hit &= i[:, None] != living[None, :]
+        if (side >= 0).any():
+            hit &= side[i][:, None] != side[living][None, :]
+        links[i] += hit @ weight[living]
         # a resident leaves a visitor to the visitor's own cell if it goes there itself
-        mine = ~(lives[i][:, None] & ~lives[None, :] & reaches[i][:, which])
-        links[i] += (hit & mine) @ weight
+        links[living] += weight[i] @ (hit & ~lives[i][:, None] & ~reaches[:, which[i]].T)
         a, b = np.nonzero(hit)
         if len(a):
-            label = label[local_components(n, label[i[a]], label[b])]
+            label = label[local_components(n, label[i[a]], label[living[b]])]
     linked = np.flatnonzero((links > 0) | (label != np.arange(n)))
     return pd.DataFrame({"a": cls[linked], "links": links[linked], "b": pd.array(np.where(label[linked] != linked, cls[label[linked]], -1), dtype="Int64")}).assign(b=lambda d: d["b"].where(d["b"] >= 0))
 

@@ -152,6 +152,26 @@ def test_near_vectors(spark, sub_block):
     assert embedding_dedup.near_vectors(table.limit(0)).count() == 0
 
 
+def test_recall_on_pairs_near_the_threshold(spark):
+    rng = np.random.default_rng(21)
+    first = rng.standard_normal((5000, 64))
+    first /= np.linalg.norm(first, axis=1, keepdims=True)
+    away = rng.standard_normal(first.shape)
+    away -= (away * first).sum(axis=1, keepdims=True) * first
+    away /= np.linalg.norm(away, axis=1, keepdims=True)
+    cosine = rng.uniform(0.931, 0.96, (5000, 1))
+    x = np.concatenate([first, cosine * first + np.sqrt(1 - cosine**2) * away]).astype(np.float32)
+    label = np.tile(rng.integers(0, 3, 5000), 2)
+    got = embedding_dedup.near_vectors(spark.createDataFrame([(k, v.tolist(), int(y)) for k, (v, y) in enumerate(zip(x, label, strict=True))], "vec_id long, embedding array<float>, label int")).collect()
+    unit = x.astype(np.float64)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    due = np.zeros(len(x), int)
+    for a in range(0, len(x), 1000):
+        due[a : a + 1000] = ((unit[a : a + 1000] @ unit.T >= 0.93) & (label[a : a + 1000, None] == label[None, :])).sum(axis=1) - 1
+    links = {r["vec_id"]: r["n_links"] for r in got}
+    assert all(links[k] <= due[k] for k in range(len(x))) and due.sum() >= 10_000 and sum(links.values()) >= 0.98 * due.sum()
+
+
 def test_traversal_is_in_order_of_distance():
     rng = np.random.default_rng(3)
     a, b = rng.random(7), rng.random(9)
