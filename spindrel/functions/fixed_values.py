@@ -29,6 +29,9 @@ DOT_WORD = r"(?i)\s*[\(\[\{]\s*(?:dot|punkt)\s*[\)\]\}]\s*"
 EMAIL = r"[A-Za-z0-9._%+\-]+@[A-Za-z0-9.\-]+\.[A-Za-z]{2,}"
 MAILTO_RANGES = ((0x2B, 0x3A), (0x40, 0x5A), (0x61, 0x7A))
 UTF7 = r"\+([A-Za-z0-9+/]{2,})-"
+#: What an address goes through before it is sought, and what its two parts go through after: (pattern, replacement).
+EMAIL_BEFORE = ((r"(?i)^mailto:", ""), (r"\?.*", ""), (AT_WORD, "@"), (DOT_WORD, "."), (" ", ""))
+EMAIL_AFTER = ((r"\.{2,}", "."), (r"^\.|\.$", ""))
 PHONE = r"^(?:t|tel|telefon|phone|fon)\b[\s.:]*"
 FAX = r"^(?:f|fax|telefax)\b[\s.:]*"
 MOBILE = r"^(?:m|mob|mobil|mobile|handy)\b[\s.:]*"
@@ -65,10 +68,13 @@ ORG_NAME = (
     r"\b(btu|universit[äa]t|university|hochschule|institut|institute|fakult[äa]t|faculty|fachgebiet|lehrstuhl|zentrum|centre|center|gmbh|mbh|"
     r"e\.\s?v\.|akademie|stiftung|verein|abteilung|department|klinik|labor|fraunhofer|leibniz|helmholtz)\b"
 )
-NAME_PARTICLES = "von van de der den des du da di dos del della la le zu ter ten af av bin al el y i ibn mac mc o"
+NAME_PARTICLES = (
+    "von", "van", "de", "der", "den", "des", "du", "da", "di", "dos", "del", "della", "la", "le", "zu", "ter", "ten", "af", "av", "bin", "al", "el",
+    "y", "i", "ibn", "mac", "mc", "o",
+)
 TITLE_TOKENS = (
-    "prof professor dr ing habil rer nat phil jur med pol dipl apl jun hon univ mult sc msc bsc ma ba phd eng des oec agr techn mont "
-    "honorarprofessor honorarprofessorin juniorprofessor emeritus"
+    "prof", "professor", "dr", "ing", "habil", "rer", "nat", "phil", "jur", "med", "pol", "dipl", "apl", "jun", "hon", "univ", "mult", "sc", "msc",
+    "bsc", "ma", "ba", "phd", "eng", "des", "oec", "agr", "techn", "mont", "honorarprofessor", "honorarprofessorin", "juniorprofessor", "emeritus",
 )
 LEADERSHIP = r"(professor|lehrstuhlinhaber|inhaber|leitung|leiter|fachgebietsleitung|\bchair\b|head\s+of)"
 VACANT = ("", "N.N.", "NN", "-", "—")

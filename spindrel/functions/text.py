@@ -75,14 +75,17 @@ def chunk_id(url, index) -> Column:
     return uuid5(F.concat(_c(url), F.lit("_chunk_"), _c(index).cast("string")))
 
 
+def _through(c: Column, steps) -> Column:
+    for pattern, replacement in steps:
+        c = F.regexp_replace(c, pattern, replacement)
+    return c
+
+
 def normalize_email(c) -> Column:
     """user@host of any published form of an address, or null. Text repairs (UTF-7) come before, where pages are parsed."""
-    text = collapse_space(F.translate(F.coalesce(_c(c), F.lit("")), "­​", ""))
-    text = F.split_part(F.regexp_replace(text, "(?i)^mailto:", ""), F.lit("?"), F.lit(1))
-    text = F.regexp_replace(F.regexp_replace(text, V.AT_WORD, "@"), V.DOT_WORD, ".")
-    found = F.lower(F.regexp_extract(F.replace(text, F.lit(" "), F.lit("")), f"({V.EMAIL})", 1))
-    tidy = lambda x: F.regexp_replace(F.regexp_replace(x, r"\.{2,}", "."), r"^\.+|\.+$", "")
-    local, domain = tidy(F.substring_index(found, "@", 1)), tidy(F.substring_index(found, "@", -1))
+    text = collapse_space(F.translate(F.coalesce(_c(c), F.lit("")), "\u00ad\u200b", ""))
+    found = F.lower(F.regexp_extract(_through(text, V.EMAIL_BEFORE), f"({V.EMAIL})", 1))
+    local, domain = _through(F.substring_index(found, "@", 1), V.EMAIL_AFTER), _through(F.substring_index(found, "@", -1), V.EMAIL_AFTER)
     return F.when((found != "") & (local != "") & (domain != ""), F.concat(local, F.lit("@"), domain))
 
 

@@ -48,6 +48,19 @@ def test_names(line, want):
     assert names.is_name(line) is want
 
 
+def test_names_of_columns_are_those_of_texts(spark):
+    lines = ["Ada Muster", "ada muster", "Prof. Dr. Ada Muster", "Dr. 2 Muster Ada", "Ada Muster 2", "ÄDA MÜSTER", "Ada von und zu Muster", "Ada Muster (Sekretariat)", "Wouter Verschoof-van der Vaart", "Ada & Bo", "Ada Muster!", "(Ada Muster)", "a@b.de Ada Muster",
+             "Lehrstuhl Ada Muster", "Ada Muster Muster weiter unten im Text", "Émile Zola", "李 明", "Team Ada", "Ada Gastprofessorin Muster", "Prof. Dr.", "X" * 50 + " " + "Y" * 50, "", None, "Ada\nMuster", "Dipl.-Ing. Jörg Ünal, M.Sc."]
+    got = spark.createDataFrame([(x,) for x in lines], "t string").select("t", names.is_name_like("t").alias("n"), names.looks_like_person("t").alias("p")).collect()
+    assert [(r["t"], r["n"], r["p"]) for r in got] == [(x, names.is_name(x), names.is_person(x)) for x in lines] and sum(r["n"] for r in got) >= 6
+
+
+def test_repaired_addresses_of_columns_are_those_of_texts(spark):
+    raw = ["mailto:A.B@x.de?subject=1", "a (at) b (punkt) de", "x [dot] y {@} z.de", "..a..b.@x..de", "none", "", None, "MAILTO:q@w.org", "a b @ c.de"]
+    got = spark.createDataFrame([(x,) for x in raw], "t string").select(text.normalize_email("t").alias("e")).collect()
+    assert [r["e"] for r in got] == [repair.email(x) for x in raw] and repair.email(raw[1]) == "a@b.de" and repair.email(raw[3]) == "a.b@x.de"
+
+
 def test_identities(spark):
     row = spark.createDataFrame([("https://e.org/a", "12566 - Auslaufmodul", "https://x/rds?a=1&pord.pordnr=5", "https://x/rds?veranstaltung.veranstid=11#z", "Grüße")], "u string, n string, p string, e string, t string").select(
         text.document_id("u"), text.document_id("p"), text.structured_id("n", "u"), text.event_key("e"), text.event_key("u"), text.chunk_id("u", F.lit(0)), text.content_hash("t"), text.word_count(F.lit("a\xa0\tb ")), text.word_count(F.lit(" "))
