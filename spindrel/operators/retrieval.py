@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from time import perf_counter
 from typing import Protocol
 
 from pyspark.sql import DataFrame, Window
@@ -11,8 +13,8 @@ from pyspark.sql import types as T
 from spindrel.functions import fixed_values as V
 from spindrel.functions import text
 
-#: A batch of questions up to so many rows is sent to every task; more are compared by a join.
-BROADCAST_QUESTIONS = 10_000
+#: Questions that go to every task as one matrix, and those of them that a batch of chunks is multiplied with at once: bounds on memory.
+BLOCK_QUESTIONS, AT_ONCE = 8192, 512
 VERDICT = "is_relevant boolean, confidence_score double, reasoning string"
 LOG = "id string, created_at timestamp, workflow_name string, user_query string, llm_model string, embeddings_model string, highest_relevance_score double, is_web_fallback_used boolean, final_response string, latency_ms double, error_log string"
 
@@ -23,19 +25,20 @@ def top_k(chunks: DataFrame, question: list[float], k: int = 1, id_col: str = "i
     return chunks.withColumn("score", text.cosine(vector, lit)).orderBy(F.desc("score"), id_col).limit(k)
 
 
-def top_k_batch(chunks: DataFrame, questions: DataFrame, k: int = 1, id_col: str = "id", vector: str = "vector", query_id: str = "query_id", query_vector: str = "query_vector") -> DataFrame:
-    """query_id, id, score, rank: the k best chunks of every question, by exact search.
+def top_k_batch(chunks: DataFrame, questions: DataFrame, k: int = 1, id_col: str = "id", vector: str = "vector", query_id: str = "query_id", query_vector: str = "query_vector", carry: tuple[str, ...] = ()) -> DataFrame:
+    """query_id, id, columns to carry, score, rank: the k best chunks of every question, by exact search.
 
-    Up to BROADCAST_QUESTIONS questions (counted) go to every task as one matrix; a task multiplies its chunks with it a batch at a time and hands on,
-    for each question and batch, what can still be among the k best. More questions are compared by a join.
+    Questions go to the tasks as matrices of about BLOCK_QUESTIONS (counted; each block is a scan of its own); a task multiplies its chunks with one a batch
+    at a time and hands on, for each question and batch, what can still be among the k best. No pair is shuffled that can't be.
     """
     asked = questions.select(query_id, query_vector)
-    rows = asked.limit(BROADCAST_QUESTIONS + 1).collect()
-    if len(rows) > BROADCAST_QUESTIONS:
-        pairs = chunks.select(id_col, vector).crossJoin(asked)  # every question meets every chunk: that is exact search
-        scored = pairs.select(query_id, id_col, F.round(text.cosine(vector, query_vector), 12).alias("score"))
-    else:
-        scored = _scored(chunks.select(id_col, vector), asked, [tuple(r) for r in rows if r[1] is not None], k, id_col, query_id)
+    blocks = max(1, -(-asked.count() // BLOCK_QUESTIONS))
+    number = F.pmod(F.xxhash64(query_id, query_vector), F.lit(blocks))
+    scored = None
+    for block in range(blocks):
+        rows = [tuple(r) for r in asked.where(number == block).collect() if r[1] is not None]  # a block's
+        part = _scored(chunks.select(id_col, vector, *carry), asked, rows, k, id_col, query_id)
+        scored = part if scored is None else scored.unionByName(part)
     order = Window.partitionBy(query_id).orderBy(F.desc("score"), id_col)
     return scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
@@ -44,7 +47,8 @@ def _scored(chunks: DataFrame, asked: DataFrame, rows: list[tuple], k: int, id_c
     import numpy as np
     import pandas as pd
 
-    schema = T.StructType([T.StructField(query_id, asked.schema[query_id].dataType), T.StructField(id_col, chunks.schema[id_col].dataType), T.StructField("score", T.DoubleType())])
+    carried = [f for f in chunks.schema if f.name in chunks.columns[2:]]
+    schema = T.StructType([T.StructField(query_id, asked.schema[query_id].dataType), T.StructField(id_col, chunks.schema[id_col].dataType), *carried, T.StructField("score", T.DoubleType())])
     keys = np.array([q for q, _ in rows], dtype=object)
     matrix = np.array([v for _, v in rows], np.float64)
 
@@ -53,12 +57,13 @@ def _scored(chunks: DataFrame, asked: DataFrame, rows: list[tuple], k: int, id_c
             batch = batch[batch.iloc[:, 1].notna()]
             if not len(batch) or not len(keys):
                 continue
-            ids = batch.iloc[:, 0].to_numpy()
-            scores = np.round(np.stack(batch.iloc[:, 1].to_numpy()).astype(np.float64) @ matrix.T, 12)  # equal vectors get equal scores
-            most = min(k, len(ids))
-            least = -np.partition(-scores, most - 1, axis=0)[most - 1]
-            row, column = np.nonzero(scores >= least)
-            yield pd.DataFrame({query_id: keys[column], id_col: ids[row], "score": scores[row, column]})
+            vectors, most = np.stack(batch.iloc[:, 1].to_numpy()).astype(np.float64), min(k, len(batch))
+            rest = batch.drop(columns=batch.columns[1])
+            for a in range(0, len(keys), AT_ONCE):
+                scores = np.round(vectors @ matrix[a : a + AT_ONCE].T, 12)  # equal vectors get equal scores
+                least = -np.partition(-scores, most - 1, axis=0)[most - 1]
+                row, column = np.nonzero(scores >= least)
+                yield rest.iloc[row].assign(**{query_id: keys[a : a + AT_ONCE][column], "score": scores[row, column]})[schema.names]
 
     return chunks.mapInPandas(work, schema)
 
@@ -117,8 +122,8 @@ def answer(questions: DataFrame, chunks: DataFrame, embedder=None, judge: Judge
     from spindrel.functions.udfs import column_function
 
     asked = questions.withColumn("query_vector", (embedder or embed())("message"))
-    best = top_k_batch(chunks, asked, k)
-    found = best.join(chunks.select("id", "text"), "id").groupBy("query_id").agg(F.max("score").alias("highest_relevance_score"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", "text"))), lambda x: x["text"]), "\n\n").alias("context"))
+    best = top_k_batch(chunks, asked, k, carry=("text",))
+    found = best.groupBy("query_id").agg(F.max("score").alias("highest_relevance_score"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", "text"))), lambda x: x["text"]), "\n\n").alias("context"))
 
     @column_function("string")
     def judged(message, context, score):
@@ -154,6 +159,13 @@ def log_rows(answered: DataFrame, workflow: str, llm_model: str, embeddings_mode
     )
 
 
+def logged(answered: DataFrame, keep: Callable[[DataFrame], DataFrame], workflow: str, llm_model: str, embeddings_model: str) -> DataFrame:
+    """Log rows with measured latency: ``keep`` evaluates the answers once (it writes and rereads them), and each question bears its share of the time."""
+    began = perf_counter()
+    rows = keep(answered)
+    return log_rows(rows, workflow, llm_model, embeddings_model, (perf_counter() - began) * 1000 / max(1, rows.count()))
+
+
 def error_row(spark, workflow: str, error: str, query: str = "") -> DataFrame:
     """The log row of a run that failed."""
     row = spark.range(1).select(F.lit(query).alias("message"), F.lit("internal").alias("route"), F.lit(0.0).alias("highest_relevance_score"), F.lit(None).cast("string").alias("response"), F.lit(error).alias("query_id"))

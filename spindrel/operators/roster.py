@@ -104,6 +104,24 @@ def attach_heads(people: DataFrame, chairs: DataFrame, loose: DataFrame | None =
     return everyone.select(*people.columns), left.select("chair_id", "x.*").where(F.length("text") > 0).distinct()
 
 
+#: What a chair tells about its head.
+HEAD_FIELDS = ("name", "emails", "phones", "faxes", "mobiles", "room", "building", "address_lines", "office_hours", "image_url", "career", "orcid", "designations", "source_urls")
+
+
+def head_records(people_by_chair: DataFrame) -> DataFrame:
+    """chair_id, head_of_chair_resolved (whether the chair's pages describe its head), head_of_chair_person, of every chair whose head is named."""
+    heads = people_by_chair.where("is_head_of_chair").select("chair_id", "seq", F.struct(*HEAD_FIELDS).alias("__p"))
+    first = heads.groupBy("chair_id").agg(F.min_by("__p", "seq").alias("head_of_chair_person"), F.min("seq").alias("__s"))
+    listed = F.element_at("__s", -1) != 2**31 - 1  # the place of a head that nobody matches
+    return first.select("chair_id", listed.alias("head_of_chair_resolved"), "head_of_chair_person")
+
+
+def chair_designations(navs: DataFrame) -> DataFrame:
+    """chair_id, designations: the roles in a chair's menu, each once, by code point."""
+    roles = _menu_entries(navs).where("role is not null")
+    return roles.groupBy("chair_id").agg(F.array_sort(F.collect_set("role")).alias("designations"))
+
+
 def merge_everywhere(people: DataFrame, chairs: DataFrame) -> DataFrame:
     """One record a person over all chairs, with affiliations. chairs: chair_id and the fields of AFFILIATION that don't come from the person."""
     placed = people.drop("affiliations").join(chairs.select("chair_id", "faculty", "faculty_number", "institute", "chair", "chair_url", "chair_is_former"), "chair_id")
@@ -191,6 +209,14 @@ def chair_status(chairs: DataFrame) -> DataFrame:
     return chairs.withColumn("status", F.when(F.coalesce(F.col("url"), F.lit("")) == "", "no_link").when(F.col("external"), "external").otherwise("to_fetch"))
 
 
+def _menu_entries(navs: DataFrame) -> DataFrame:
+    """chair_id, s, e, url, role (null for pages about the chair and for members by name) of the own pages in team menus."""
+    sections = navs.select("chair_id", F.posexplode("nav.team_sections").alias("s", "section"))
+    entries = sections.select("chair_id", "s", F.posexplode("section.entries").alias("e", "entry")).where(text.is_own_host("entry.url"))
+    role = F.col("entry.is_designation") & ~looks_like_person("entry.designation")
+    return entries.select("chair_id", "s", "e", F.col("entry.url").alias("url"), F.when(role, F.col("entry.designation")).alias("role"))
+
+
 def targets(navs: DataFrame) -> DataFrame:
     """chair_id, ord, url, designation: the pages of a chair to read for people, each once. navs: chair_id, url (of the landing page), nav.
 
@@ -199,9 +225,7 @@ def targets(navs: DataFrame) -> DataFrame:
     own = navs.select("chair_id", F.array(F.lit(0)).alias("ord"), "url", F.lit(None).cast("string").alias("designation"))
     sections = navs.select("chair_id", F.posexplode("nav.team_sections").alias("s", "section"))
     menus = sections.where("section.url is not null").select("chair_id", F.array(F.lit(1), F.col("s"), F.lit(-1)).alias("ord"), F.col("section.url").alias("url"), F.lit(None).cast("string").alias("designation"))
-    entries = sections.select("chair_id", "s", F.posexplode("section.entries").alias("e", "entry")).where(text.is_own_host("entry.url"))
-    role = F.col("entry.is_designation") & ~looks_like_person("entry.designation")
-    listed = entries.select("chair_id", F.array(F.lit(1), F.col("s"), F.col("e")).alias("ord"), F.col("entry.url").alias("url"), F.when(role, F.col("entry.designation")).alias("designation"))
+    listed = _menu_entries(navs).select("chair_id", F.array(F.lit(1), F.col("s"), F.col("e")).alias("ord"), "url", F.col("role").alias("designation"))
     every = own.unionByName(menus).unionByName(listed)
     return every.groupBy("chair_id", "url").agg(F.min("ord").alias("ord"), F.min_by("designation", F.when(F.col("designation").isNotNull(), F.col("ord"))).alias("designation")).select("chair_id", "ord", "url", "designation")
 

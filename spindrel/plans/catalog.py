@@ -314,7 +314,7 @@ def people_parse(spark, d):
 @query()
 def faculty_parse(spark, d):
     rows = _pages_with(spark, d, ("https://www.b-tu.de/fakultaet1/x", X.FACULTY)).select("url", people.faculty_of("html", "url").alias("f"))
-    return rows.select("url", "f.faculty_name", "f.faculty_number", F.explode("f.chairs").alias("c")).select("url", "faculty_name", "faculty_number", "c.*")
+    return rows.select(F.col("url").alias("page_url"), "f.faculty_name", "f.faculty_number", F.explode("f.chairs").alias("c")).select("page_url", "faculty_name", "faculty_number", "c.*")
 
 
 @query()

@@ -11,30 +11,46 @@ from pyspark.sql import functions as F
 from spindrel.functions import people as team
 from spindrel.operators import corpus, roster
 from spindrel.operators.sync import sync
+from spindrel.sources.fetch import fetch_stats
 from spindrel.sources.snapshots import SnapshotTable
 
 Fetch = Callable[[DataFrame], DataFrame]
 
 
 class Workspace:
-    """Where a run keeps fetched pages: they are written before they are parsed, so no page is requested twice."""
+    """Where a run keeps fetched pages: they are written before they are parsed, and a page that the run has is not requested again. The folder goes when the
+    application ends."""
 
     def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, f"{root.rstrip('/')}/run-{uuid4().hex}"
+        self.spark, self.root, self.pages, self.lookups = spark, f"{root.rstrip('/')}/run-{uuid4().hex}", None, 0
+        path = spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        store = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        store.mkdirs(path)
+        store.deleteOnExit(path)
 
     def keep(self, rows: DataFrame, name: str) -> DataFrame:
         rows.write.mode("overwrite").parquet(f"{self.root}/{name}")
         return self.spark.read.parquet(f"{self.root}/{name}")
 
+    def get(self, wanted: DataFrame, fetch: Fetch, name: str) -> DataFrame:
+        """FETCHED rows of the URLs (url) that are wanted, from this run's earlier requests where it has them."""
+        urls = self.keep(wanted.select("url").where("url is not null"), f"{name}_wanted")
+        self.lookups += urls.count()
+        each = urls.distinct()
+        new = each if self.pages is None else each.join(self.pages.select(F.col("requested_url").alias("url")), "url", "left_anti")
+        got = self.keep(fetch(new), name)
+        self.pages = got if self.pages is None else self.pages.unionByName(got)
+        return self.pages.join(each.select(F.col("url").alias("requested_url")), "requested_url", "left_semi")
+
 
 def crawl_modules(spark: SparkSession, links: DataFrame, fetch: Fetch, work: str) -> DataFrame:
     """Modules with their events, from a link list (url): modules, then the event pages that they name, each once."""
     space = Workspace(spark, work)
-    pages = space.keep(fetch(links.select("url")), "modules")
+    pages = space.get(links, fetch, "modules")
     modules = space.keep(corpus.parse_modules(pages.where("success")).drop("html"), "parsed").where("module.parsed")
     wanted = modules.select(F.explode("module.event_links.url").alias("url"))
     empty = spark.createDataFrame([], "event_key string")
-    events = space.keep(corpus.parse_events(space.keep(fetch(corpus.pending_events(wanted, empty).select("url")), "event_pages")), "events")
+    events = space.keep(corpus.parse_events(space.get(corpus.pending_events(wanted, empty), fetch, "event_pages")), "events")
     return corpus.with_events(modules, events, ["requested_url"])
 
 
@@ -56,14 +72,14 @@ def run_etl(spark: SparkSession, links: DataFrame, fetch: Fetch, work: str, tabl
 
 
 def build_roster(spark: SparkSession, faculties: DataFrame, fetch: Fetch, work: str) -> dict[str, DataFrame]:
-    """roster (flat), people, chairs, unattached, counters from faculty pages (ord, url): four levels of pages, each written before the next."""
+    """roster (flat), people, chairs, unattached, counters, stats from faculty pages (ord, url): four levels of pages, each written before the next."""
     space = Workspace(spark, work)
-    pages = space.keep(fetch(faculties.select("url")), "faculties")
+    pages = space.get(faculties, fetch, "faculties")
     parsed = faculties.join(pages.where("success"), faculties["url"] == pages["requested_url"]).select("ord", team.faculty_of("html", pages["url"]).alias("f"))
     rows = parsed.select(F.col("ord").cast("int").alias("ord"), F.col("f.faculty_name").alias("faculty"), F.col("f.faculty_number").alias("faculty_number"), F.explode("f.chairs").alias("c")).select("ord", "faculty", "faculty_number", "c.*")
     chairs = roster.chair_status(rows.withColumns({"seq": F.array("ord", "institute_ord", "chair_ord"), "chair_id": F.concat_ws("/", "ord", "institute_ord", "chair_ord")}))
     chairs = space.keep(chairs, "chairs")
-    landings = space.keep(fetch(chairs.where("status = 'to_fetch'").select("url")), "landings")
+    landings = space.get(chairs.where("status = 'to_fetch'"), fetch, "landings")
     hit = landings.select(F.col("requested_url").alias("url"), "success", "html", F.col("url").alias("final_url"))
     landed = chairs.where("status = 'to_fetch'").join(hit, "url", "left")
     navs = space.keep(landed.where("success").select("chair_id", F.col("seq").alias("chair_seq"), F.col("final_url").alias("url"), team.nav_of("html", "final_url").alias("nav")), "navs")
@@ -82,11 +98,13 @@ def build_roster(spark: SparkSession, faculties: DataFrame, fetch: Fetch, work:
     named = status.withColumns({"chair": F.coalesce("chair_title", "name"), "chair_url": F.col("url"), "chair_is_former": F.col("former")})
     everyone = space.keep(roster.merge_everywhere(heads, named), "people")
     counters = roster.crawl_counters(status, everyone).crossJoin(roster.head_counters(heads))  # one row each
-    return {"roster": roster.flat_roster(everyone), "people": everyone, "chairs": status, "unattached": unattached, "counters": counters}
+    told = status.join(roster.chair_designations(navs), "chair_id", "left").join(roster.head_records(heads), "chair_id", "left")
+    told = told.withColumns({"designations": F.coalesce("designations", F.array().cast("array<string>")), "head_of_chair_resolved": F.coalesce("head_of_chair_resolved", F.lit(False))})
+    return {"roster": roster.flat_roster(everyone), "people": everyone, "chairs": told, "unattached": unattached, "counters": counters, "stats": fetch_stats(space.pages, space.lookups)}
 
 
 def _read(wanted: DataFrame, fetch: Fetch, space: Workspace, name: str) -> DataFrame:
     """wanted with the parsed page of each URL; pages that didn't come are left out."""
-    pages = space.keep(fetch(wanted.select("url")), name).where("success")
+    pages = space.get(wanted, fetch, name).where("success")
     parsed = pages.select(F.col("requested_url").alias("url"), F.col("url").alias("final_url"), team.people_of("html", "url").alias("page"))
     return wanted.join(parsed, "url")

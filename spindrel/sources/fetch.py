@@ -100,6 +100,7 @@ def fetch(urls: DataFrame, session: Callable[[], object], workers: int = 8, poli
     return urls.select(F.col(url).alias("u")).where("u is not null").distinct().repartition(workers).mapInPandas(work, FETCHED)
 
 
-def fetch_stats(fetched: DataFrame) -> DataFrame:
-    """One row: requests, retries, failures."""
-    return fetched.agg(F.sum("attempts").alias("requests"), F.sum(F.col("attempts") - 1).alias("retries"), F.count_if(~F.col("success")).alias("failures"))
+def fetch_stats(fetched: DataFrame, lookups: int | None = None) -> DataFrame:
+    """One row: requests, retries, failures (given up after all attempts; a refusal is an answer) and, if the number of pages asked for is given, cache_hits."""
+    hits = [] if lookups is None else [(F.lit(lookups).cast("long") - F.count(F.lit(1))).alias("cache_hits")]
+    return fetched.agg(F.sum("attempts").alias("requests"), F.sum(F.col("attempts") - 1).alias("retries"), F.count_if(~F.col("success") & F.col("status_code").isNull()).alias("failures"), *hits)

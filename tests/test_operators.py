@@ -110,6 +110,21 @@ def test_fetch_policy():
     assert fetch.proxy_url("http://p:1", "u", "s") == "http://u:s@p:1" and fetch.proxy_url("http://a@p", "u") == "http://a@p" and fetch.proxy_url("") is None
 
 
+def test_fetch_stats(spark):
+    rows = [("a", "a", 200, "x", True, None, 1), ("b", "b", 404, "", False, "HTTP 404", 1), ("c", "c", None, "", False, "down", 3)]
+    assert tuple(fetch.fetch_stats(spark.createDataFrame(rows, fetch.FETCHED), 5).first()) == (5, 2, 1, 2)
+
+
+def test_latency_is_measured(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "m", "web", 0.5, "r")], "query_id int, message string, route string, highest_relevance_score double, response string")
+
+    def keep(df):
+        df.write.parquet(str(tmp_path / "a"))
+        return spark.read.parquet(str(tmp_path / "a"))
+
+    assert retrieval.logged(rows, keep, "w", "l", "e").first()["latency_ms"] > 0
+
+
 def _fetched(urls):
     return fetch.fetch(urls, X.SiteSession, workers=2, policy=fetch.Policy(pause=0, jitter=(0, 0), sleep=lambda s: None))
 
@@ -139,6 +154,11 @@ def test_people_crawl(spark, tmp_path):
     assert set(rows) == {"ada-muster", "klara-lang"}
     assert rows["ada-muster"]["designation"] == "Sekretariat" and rows["ada-muster"]["faculty"] == "Fakultät 1"
     assert rows["klara-lang"]["is_head_of_chair"] and rows["klara-lang"]["career"] == "Born."
+    chair = next(r for r in out["chairs"].collect() if r["name"] == "FG X")
+    assert chair["designations"] == ["Sekretariat"] and chair["head_of_chair_resolved"]
+    assert chair["head_of_chair_person"].asDict() == {**dict.fromkeys(roster.HEAD_FIELDS), "name": "Klara Lang", "emails": ["klara.lang@b-tu.de"], "career": "Born.", "source_urls": ["https://www.b-tu.de/fg-x/bo"], **{k: [] for k in ("phones", "faxes", "mobiles", "address_lines")}, "designations": ["Sekretariat"]}
+    stats = out["stats"].first()  # the landing page is read twice and requested once; two chairs have no page to fetch
+    assert stats["requests"] == 6 and stats["cache_hits"] == 1 and stats["failures"] == 0
     c = out["counters"].first()
     assert (c["chairs"], c["chairs_crawled"], c["chairs_without_link"], c["chairs_hosted_externally"], c["people"], c["chairs_with_head_named"]) == (3, 1, 1, 1, 2, 1)
 
@@ -199,6 +219,16 @@ def test_top_k_plans(spark):
     assert [r["id"] for r in many.orderBy("rank").collect()] == [19, 18, 17] and "WindowGroupLimit" in many._jdf.queryExecution().executedPlan().toString()
 
 
+def test_questions_in_blocks(spark, monkeypatch):
+    table = spark.createDataFrame([(k, [float(k), 20.0 - k], f"t{k}") for k in range(20)], "id int, vector array<float>, text string")
+    asked = spark.createDataFrame([(q, [float(q), 1.0]) for q in range(30)] + [(99, None)], "query_id int, query_vector array<float>")
+    rows = lambda: sorted(map(tuple, retrieval.top_k_batch(table, asked, 2, carry=("text",)).collect()))
+    want = rows()
+    monkeypatch.setattr(retrieval, "BLOCK_QUESTIONS", 7)
+    monkeypatch.setattr(retrieval, "AT_ONCE", 2)
+    assert rows() == want and len(want) == 60 and all(r[2] == f"t{r[1]}" for r in want)
+
+
 def test_resume(spark):
     urls = spark.createDataFrame([(f"{X.BASE}?pord.pordnr={n}",) for n in (5, 6)] + [("https://e.org/a",)], "url string")
     done = spark.createDataFrame([("modul_p5", "5"), ("modul_xf2cc75f84c57", None)], "doc_id string, pordnr string")
