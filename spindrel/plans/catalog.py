@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import tempfile
 from collections.abc import Callable
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,8 +14,11 @@ from spindrel.functions import chunking, names, pages, people, repair, text
 from spindrel.functions.embedding import embed
 from spindrel.operators import corpus, retrieval, roster, sync
 from spindrel.plans import examples as X
+from spindrel.plans import site
 from spindrel.session import read_table
 from spindrel.sources import fetch, links
+from spindrel.sources.snapshots import SnapshotTable
+from spindrel.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -65,10 +69,22 @@ def word_counts(spark, d):
     return read_table(spark, d, "documents").select("doc_id", text.word_count("text").cast("long").alias("n_words"), text.collapse_space("text").alias("tidy"))
 
 
-@query(r"""SELECT page_id, coalesce('modul_p' || nullif(regexp_extract(url, '[?&]pord\.pordnr=(\d+)', 1), ''), 'modul_x' || substr(md5(url), 1, 12)) AS doc_id,
-  coalesce(nullif(regexp_extract(url, '[?&][^=&#]*veranstid=([^&#]+)', 1), ''), url) AS event_key, lower(regexp_extract(url, '://([^/?#:]*)', 1)) IN ('www.b-tu.de', 'b-tu.de') AS own FROM pages""")
+_URL = """CASE page_id % 5 WHEN 1 THEN concat('https://www.b-tu.de/qisserver3/rds?a=1&pord.pordnr=', CAST(page_id % 40 AS STRING), '&b=2') WHEN 2 THEN concat('https://WWW.B-TU.de/rds?veranstaltung.veranstid=', CAST(page_id AS STRING), '&x=y#z')
+  WHEN 3 THEN concat('https://b-tu.de:443/p?pord.pordnr=', CAST(page_id AS STRING)) ELSE url END"""
+_URLS = f"u AS (SELECT page_id, {_URL} AS url FROM pages)"
+_PORDNR = r"nullif(regexp_extract(url, '[?&]pord\.pordnr=(\d+)', 1), '')"
+_DOC_ID = f"coalesce('modul_p' || {_PORDNR}, 'modul_x' || substr(md5(url), 1, 12))"
+
+
+def _urls(spark, d):
+    """The pages' URLs, three fifths of them made into those of modules, events and own pages."""
+    return read_table(spark, d, "pages").select("page_id", F.expr(_URL).alias("url"))
+
+
+@query(rf"""WITH {_URLS} SELECT page_id, {_DOC_ID} AS doc_id, coalesce(nullif(regexp_extract(url, '[?&][^=&#]*veranstid=([^&#]+)', 1), ''), url) AS event_key,
+  lower(regexp_extract(url, '://([^/?#:]*)', 1)) IN ('www.b-tu.de', 'b-tu.de') AS own FROM u""")
 def page_identities(spark, d):
-    return read_table(spark, d, "pages").select("page_id", text.document_id("url").alias("doc_id"), text.event_key("url").alias("event_key"), text.is_own_host("url").alias("own"))
+    return _urls(spark, d).select("page_id", text.document_id("url").alias("doc_id"), text.event_key("url").alias("event_key"), text.is_own_host("url").alias("own"))
 
 
 _MAILS = ["Mailto:Max.Muster.(at)Example(punkt)ORG?subject=x", "kein Kontakt", "a [at] b.de", "x..y@z..org", " Ada.Muster{@}b-tu.de ", "", "t@t", "Name <n.n@host.example>"]
@@ -85,21 +101,28 @@ def email_normalise(spark, d):
     return spark.createDataFrame([*enumerate(_MAILS)], "k int, raw string").select("k", "raw", text.normalize_email("raw").alias("email"))
 
 
-@query("""SELECT * FROM (VALUES ('Prof. Dr.-Ing. Jörg Müßler-Ná', 'joerg muessler', 'joerg-muessler', true), ('Ada Muster', 'ada muster', 'ada-muster', true),
-  ('Akademische Mitarbeiterin', 'akademische mitarbeiterin', 'akademische-mitarbeiterin', false), ('BTU Cottbus', 'btu cottbus', 'btu-cottbus', false), ('李', '', 'unknown', false)) AS t(name, tokens, slug, is_name)""")
+@query(f"""SELECT c_custkey, name, array_to_string({site.tokens("name")}, ' ') AS tokens, {site.slug("name")} AS slug, {site.is_name("name")} AS is_name FROM (SELECT c_custkey, {site.LINE} AS name FROM customer)""")
 def name_functions(spark, d):
-    rows = spark.createDataFrame([(n,) for n in ("Prof. Dr.-Ing. Jörg Müßler-Ná", "Ada Muster", "Akademische Mitarbeiterin", "BTU Cottbus", "李")], "name string")
-    return rows.select("name", F.array_join(repair.tokens_of("name"), " ").alias("tokens"), repair.slug_of("name").alias("slug"), names.is_name_like("name").alias("is_name"))
+    rows = read_table(spark, d, "customer").select("c_custkey", F.expr(site.LINE).alias("name"))
+    return rows.select("c_custkey", "name", F.array_join(repair.tokens_of("name"), " ").alias("tokens"), repair.slug_of("name").alias("slug"), names.is_name_like("name").alias("is_name"))
+
 
+_SHIFTED = """concat(c_name, ' Beckumer Stra+AN8-e ', CAST(c_custkey AS STRING), ', T +-49 1+1 M+APw-hle +AMQ-rzte')"""
 
-@query("""SELECT * FROM (VALUES ('Beckumer Stra+AN8-e', 'Beckumer Straße'), ('T +-49', 'T +49'), ('1+1', '1+1')) AS t(raw, repaired)""")
+
+@query(f"""SELECT c_custkey, replace(replace(replace(replace({_SHIFTED}, '+AN8-', 'ß'), '+APw-', 'ü'), '+AMQ-', 'Ä'), '+-', '+') AS repaired FROM customer""")
 def text_repairs(spark, d):
-    return spark.createDataFrame([("Beckumer Stra+AN8-e",), ("T +-49",), ("1+1",)], "raw string").select("raw", repair.utf7_repaired("raw").alias("repaired"))
+    return read_table(spark, d, "customer").select("c_custkey", repair.utf7_repaired(F.expr(_SHIFTED)).alias("repaired"))
+
+
+_ALPHABETS = ("+,-./0123456789:", "@ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-@query("SELECT 'nbjmup+beb/nvtufsAc.uv/ef' AS token, 'mailto:ada.muster@b-tu.de' AS decoded")
+@query("SELECT c_custkey, 'mailto:' || replace(c_name, '#', '.') || '+' || c_custkey || '@B-TU.de' AS decoded FROM customer")
 def mail_tokens(spark, d):
-    return spark.createDataFrame([("nbjmup+beb/nvtufsAc.uv/ef", "1")], "token string, vector string").select("token", repair.decoded_token("token", "vector").alias("decoded"))
+    plain = F.concat(F.lit("mailto:"), F.replace("c_name", F.lit("#"), F.lit(".")), F.lit("+"), F.col("c_custkey").cast("string"), F.lit("@B-TU.de"))
+    moved = F.translate(plain, "".join(_ALPHABETS), "".join(a[3:] + a[:3] for a in _ALPHABETS))
+    return read_table(spark, d, "customer").select("c_custkey", repair.decoded_token(moved, F.lit("3")).alias("decoded"))
 
 
 # --- deduplication, resume, link lists ---
@@ -126,27 +149,50 @@ def link_report(spark, d):
     return links.report(rows.where("ord % 3 <> 0"), rows.where("ord % 4 <> 0")).drop("added", "removed")
 
 
-@query("SELECT url FROM pages WHERE 'modul_x' || substr(md5(url), 1, 12) NOT IN (SELECT 'modul_x' || substr(md5(url), 1, 12) FROM pages WHERE page_id % 2 = 0)")
+@query(f"WITH {_URLS} SELECT DISTINCT url FROM u WHERE {_DOC_ID} NOT IN (SELECT {_DOC_ID} FROM u WHERE page_id % 2 = 0)")
 def resume_pending(spark, d):
-    rows = read_table(spark, d, "pages")
-    return corpus.pending_markdown(rows.select("url"), rows.where("page_id % 2 = 0").select(text.document_id("url").alias("doc_id")))
+    rows = _urls(spark, d)
+    return corpus.pending_markdown(rows.select("url"), rows.where("page_id % 2 = 0").select(text.document_id("url").alias("doc_id"))).distinct()
 
 
-@query("SELECT url FROM pages WHERE page_id % 2 <> 0")
+@query(f"""WITH {_URLS}, k AS (SELECT *, {_PORDNR} AS pordnr, {_DOC_ID} AS doc_id FROM u), w AS (SELECT * FROM k WHERE page_id % 2 = 0)
+SELECT DISTINCT url FROM k WHERE CASE WHEN pordnr IS NULL THEN doc_id NOT IN (SELECT doc_id FROM w) ELSE pordnr NOT IN (SELECT pordnr FROM w WHERE pordnr IS NOT NULL) END""")
 def resume_pending_structured(spark, d):
-    rows = read_table(spark, d, "pages")
-    return corpus.pending_structured(rows.select("url"), rows.where("page_id % 2 = 0").select(text.document_id("url").alias("doc_id"), text.module_key("url").alias("pordnr")))
+    rows = _urls(spark, d)
+    return corpus.pending_structured(rows.select("url"), rows.where("page_id % 2 = 0").select(text.document_id("url").alias("doc_id"), text.module_key("url").alias("pordnr"))).distinct()
+
+
+_LISTED = "CASE page_id % 4 WHEN 0 THEN concat('# ', url) WHEN 1 THEN concat('  ', url, ' ') WHEN 2 THEN concat('https://a.example/', CAST(page_id % 30 AS STRING)) ELSE '   ' END"
 
 
-@query("""SELECT * FROM (VALUES (1, 'https://a.example/1'), (4, 'https://a.example/2')) AS t(ord, url)""")
+@query(f"SELECT min(page_id) AS ord, l AS url FROM (SELECT page_id, trim({_LISTED}) AS l FROM pages) WHERE l <> '' AND l NOT LIKE '#%' GROUP BY l")
 def clean_links(spark, d):
-    lines = spark.createDataFrame([(0, "# list"), (1, " https://a.example/1 "), (2, ""), (3, "https://a.example/1"), (4, "https://a.example/2")], "ord int, value string")
-    return links.first_of_each(links.clean_lines(lines, order="ord")).select(F.col("ord").cast("int").alias("ord"), "url")
+    lines = read_table(spark, d, "pages").select(F.col("page_id").alias("ord"), F.expr(_LISTED).alias("value"))
+    return links.first_of_each(links.clean_lines(lines, order="ord")).select("ord", "url")
 
 
-@query(f"""SELECT * FROM (VALUES (CAST(0 AS BIGINT), '{X.BASE}?state=modulBeschrDetailInfo&pord.pordnr=5', '5'), (CAST(2 AS BIGINT), '{X.BASE}?state=modulBeschrDetailInfo&pord.pordnr=7', '7')) AS t(ord, url, pordnr)""")
+_ROW = f"""concat('<tr><td><a href="', CASE page_id % 5 WHEN 0 THEN 'https://elsewhere.example/rds' ELSE '{X.BASE}' END, '?state=', CASE page_id % 7 WHEN 0 THEN 'other' ELSE 'modulBeschrDetailInfo' END, '&amp;pord.pordnr=', CAST(page_id % 60 AS STRING), '">m</a></td></tr>')"""
+
+
+@query(f"""SELECT min(n) AS ord, arg_min(url, n) AS url, pordnr FROM (SELECT row_number() OVER (ORDER BY page_id) - 1 AS n, CAST(page_id % 60 AS VARCHAR) AS pordnr, '{X.BASE}?state=modulBeschrDetailInfo&pord.pordnr=' || page_id % 60 AS url FROM pages WHERE page_id % 5 <> 0 AND page_id % 7 <> 0) GROUP BY pordnr""")
 def catalogue_links(spark, d):
-    return links.catalogue_links(spark.createDataFrame([(X.CATALOGUE, X.BASE)], "html string, url string"))
+    rows = read_table(spark, d, "pages").select(F.struct("page_id", F.expr(_ROW).alias("row")).alias("r"))
+    html = F.concat(F.lit('<table summary="Suchergebnis">'), F.array_join(F.transform(F.array_sort(F.collect_list("r")), lambda x: x["row"]), ""), F.lit("</table>"))  # one page lists the whole catalogue
+    return links.catalogue_links(rows.agg(html.alias("html")).select("html", F.lit(X.BASE).alias("url")))
+
+
+@query(f"""SELECT min(n) AS ord, arg_min(url, n) AS url FROM (SELECT row_number() OVER (ORDER BY page_id) - 1 AS n, page_id % 60 AS m, '{X.BASE}?state=modulBeschrDetailInfo&pord.pordnr=' || page_id % 60 AS url FROM pages WHERE page_id % 5 <> 0 AND page_id % 7 <> 0) GROUP BY m""")
+def rebuilt_links(spark, d):
+    """The list in force after a rebuild that is taken, one that is refused as too short, and one that is only tried."""
+    root = f"{_work(spark)}/links-{uuid4().hex}"
+    html = "".join(r["row"] for r in read_table(spark, d, "pages").orderBy("page_id").select(F.expr(_ROW).alias("row")).collect())  # one page lists the whole catalogue
+    links.rebuild_links(spark, root, lambda: (f'<table summary="Suchergebnis">{html}</table>', X.BASE), least=1)
+    for least, dry_run in ((1000, False), (0, True)):
+        try:
+            links.rebuild_links(spark, root, lambda: ('<table summary="Suchergebnis"></table>', X.BASE), least=least, dry_run=dry_run)
+        except links.LinksRefused:
+            pass
+    return links.read_links(spark, root)
 
 
 # --- sync ---
@@ -186,7 +232,49 @@ def sync_apply(spark, d):
     return kept.unionByName(fresh)
 
 
-@query("SELECT * FROM (VALUES (49, 'held', CAST(51 AS BIGINT)), (49, 'unchanged', 49), (50, 'stale', 50), (50, 'unchanged', 50), (51, 'stale', 49), (51, 'unchanged', 51)) AS t(seen, action, n)")
+def _documents(spark, d, content, where: str = "true"):
+    own = read_table(spark, d, "documents").where(where).select(F.col("doc_id").cast("string").alias("doc_id"), content.alias("content"))
+    return own.withColumns({"url": F.concat(F.lit("https://docs.example/"), "doc_id"), "title": F.lit(None).cast("string")})
+
+
+_STORED = _SYNC.replace("WHERE doc_id % 7 <> 3)", "WHERE doc_id % 7 <> 3 AND trim(coalesce(text, '')) <> '')", 1)
+
+
+@query(f"WITH {_STORED} SELECT doc_id, CASE WHEN action IN ('new', 'changed') THEN hash ELSE stored END AS stored FROM p WHERE action <> 'stale' AND NOT (action = 'blank' AND stored IS NULL)")
+def sync_table(spark, d):
+    """A store that is filled, then brought in step with other documents."""
+    table = SnapshotTable(spark, f"{_work(spark)}/kb-{uuid4().hex}")
+    of = lambda k, other: F.when(F.col("doc_id") % k == 0, other).otherwise(F.col("text"))
+    sync.sync(table, _documents(spark, d, of(5, F.concat("text", F.lit("x"))), "doc_id % 7 <> 3"))
+    sync.sync(table, _documents(spark, d, of(13, F.lit(" ")), "doc_id % 11 <> 4"))
+    return sync.stored_hashes(table.read())
+
+
+@query("SELECT CAST(doc_id AS VARCHAR) AS doc_id, md5(text) AS stored FROM documents WHERE trim(coalesce(text, '')) <> ''")
+def stream_sync(spark, d):
+    """The store after a stream of document files, in two runs of which the second finds half of them."""
+    folder = f"{_work(spark)}/stream-{uuid4().hex}"
+    table = SnapshotTable(spark, f"{folder}/kb")
+    for part in (0, 1):
+        _documents(spark, d, F.col("text"), f"doc_id % 2 = {part}").write.mode("append").json(f"{folder}/in")
+        ingest.stream_documents(table, f"{folder}/in", f"{folder}/checkpoint").awaitTermination()
+    return sync.stored_hashes(table.read())
+
+
+@query("SELECT CAST(doc_id AS VARCHAR) AS doc_id, coalesce(text, '') AS content, 'https://docs.example/' || doc_id AS url FROM documents UNION ALL SELECT 'broken', NULL, NULL")
+def read_documents(spark, d):
+    """A folder of JSON documents, a file each, one of which can't be read."""
+    folder = f"{_work(spark)}/json-{uuid4().hex}"
+    rows = _documents(spark, d, F.coalesce("text", F.lit("")))
+    rows.select("doc_id", F.col("content").alias("content_markdown"), F.struct("url", "title").alias("metadata")).write.option("maxRecordsPerFile", 1).json(folder)
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/broken.json")
+    stream = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path)
+    stream.write(bytearray(b"{broken"))
+    stream.close()
+    return sync.read_documents(spark, folder).select("doc_id", "content", "url")
+
+
+@query("SELECT seen, CASE WHEN i < seen THEN 'unchanged' WHEN seen < 0.5 * 100 THEN 'held' ELSE 'stale' END AS action, count(*) AS n FROM (SELECT unnest([49, 50, 51]) AS seen), (SELECT unnest(range(100)) AS i) GROUP BY ALL")
 def reconcile_guard(spark, d):
     out = None
     for seen in (49, 50, 51):
@@ -206,10 +294,17 @@ def chunks(spark, d):
     return sync.chunk_rows(docs)
 
 
-@query("SELECT doc_id, true AS some_chunk, true AS none_too_long, true AS none_blank FROM documents")
+_TRIMMED = r"regexp_replace(coalesce(text, ''), '^[\s\x0B\x{0085}\x{00A0}\x{1C}-\x{1F}]+|[\s\x0B\x{0085}\x{00A0}\x{1C}-\x{1F}]+$', '', 'g')"
+
+
+@query(rf"""SELECT doc_id, t <> '' AS some_chunk, true AS none_too_long, true AS none_blank, substr(t, 1, 15) AS begins, right(t, 15) AS ends, CAST(len(list_distinct(list_filter(regexp_split_to_array(t, '\s+'), lambda w: w <> ''))) AS INT) AS words, length(t) <= 1000 AND t <> '' AS one
+FROM (SELECT doc_id, {_TRIMMED} AS t FROM documents)""")
 def chunk_invariants(spark, d):
     own = read_table(spark, d, "documents").select("doc_id", chunking.chunks_of("text").alias("c"))
-    return own.select("doc_id", (F.size("c") > 0).alias("some_chunk"), F.forall("c", lambda x: F.length(x) <= 1000).alias("none_too_long"), F.forall("c", lambda x: F.length(F.trim(x)) > 0).alias("none_blank"))
+    words = F.array_distinct(F.flatten(F.transform("c", lambda x: F.filter(F.split(x, r"\s+"), lambda w: w != ""))))
+    sizes = [(F.size("c") > 0).alias("some_chunk"), F.forall("c", lambda x: F.length(x) <= 1000).alias("none_too_long"), F.forall("c", lambda x: F.length(F.trim(x)) > 0).alias("none_blank")]
+    ends = [F.coalesce(F.substring(F.get("c", F.lit(0)), 1, 15), F.lit("")).alias("begins"), F.coalesce(F.right(F.try_element_at("c", F.lit(-1)), F.lit(15)), F.lit("")).alias("ends")]
+    return own.select("doc_id", *sizes, *ends, F.size(words).alias("words"), (F.size("c") == 1).alias("one"))
 
 
 @query()
@@ -235,12 +330,13 @@ def vector_topk_batch(spark, d):
     return retrieval.top_k_batch(table, asked, 5, "vec_id", "embedding").select("query_id", "vec_id", F.round("score", 6).alias("score"), "rank")
 
 
-_VERDICTS = ['{"is_relevant": true, "confidence_score": 0.87, "reasoning": "r"}', '{"is_relevant": true, "confidence_score": 0.75, "reasoning": "r"}', '{"is_relevant": false, "confidence_score": 0.90, "reasoning": "r"}', "{broken"]
+_VERDICT = """CASE event_id % 11 WHEN 0 THEN '{broken' ELSE concat('{"is_relevant": ', CASE WHEN event_id % 3 = 0 THEN 'false' ELSE 'true' END, ', "confidence_score": 0.', CAST(50 + event_id % 50 AS STRING), ', "reasoning": "r"}') END"""
 
 
-@query("SELECT * FROM (VALUES (0, true, 0.87::DOUBLE, 'internal'), (1, true, 0.75, 'web'), (2, false, 0.9, 'web'), (3, NULL, NULL, 'web')) AS t(k, is_relevant, confidence_score, route)")
+@query("""SELECT k, is_relevant, confidence_score, CASE WHEN is_relevant AND confidence_score > 0.75 THEN 'internal' ELSE 'web' END AS route FROM (
+  SELECT event_id AS k, CASE WHEN event_id % 11 <> 0 THEN event_id % 3 <> 0 END AS is_relevant, CASE WHEN event_id % 11 <> 0 THEN CAST(50 + event_id % 50 AS DOUBLE) / 100 END AS confidence_score FROM events)""")
 def route(spark, d):
-    rows = spark.createDataFrame([*enumerate(_VERDICTS)], "k int, raw string").withColumn("verdict", retrieval.parse_verdict(F.col("raw")))
+    rows = read_table(spark, d, "events").select(F.col("event_id").alias("k"), retrieval.parse_verdict(F.expr(_VERDICT)).alias("verdict"))
     return retrieval.route(rows).select("k", "verdict.is_relevant", "verdict.confidence_score", "route")
 
 
@@ -287,40 +383,67 @@ def page_titles(spark, d):
     return read_table(spark, d, "pages").select("page_id", pages.outline_of("html", "url")["title"].alias("title"))
 
 
-@query()
+@query(f"""SELECT page_id, nullif(trim(regexp_replace({_UNESCAPED.format(t="regexp_extract(html, '<h1>(.*?)</h1>', 1)")}, '{_SPACES}', ' ', 'g')), '') AS heading, CAST(len(regexp_extract_all(html, '<a href="[^"]')) AS INT) AS n_links, CAST(len(regexp_extract_all(html, '<table')) AS INT) AS tables FROM pages""")
 def page_outline(spark, d):
     return read_table(spark, d, "pages").select("page_id", pages.outline_of("html", "url").alias("o")).select("page_id", "o.heading", F.size("o.links").alias("n_links"), "o.tables")
 
 
-@query()
-def module_parse(spark, d):
-    rows = _pages_with(spark, d, (f"{X.BASE}?pord.pordnr=5", X.MODULE_EN), (f"{X.BASE}?pord.pordnr=7", X.MODULE_DE), (f"{X.BASE}?pord.pordnr=6", X.ERROR_PAGE))
-    parsed = rows.select("url", pages.module_of("html", "url").alias("m"))
-    return parsed.select("url", "m.parsed", "m.parse_error", "m.language", "m.heading", F.array_sort(F.map_keys("m.fields")).alias("fields"), "m.event_links", "m.unmapped_fields")
+def _made(spark, d, example: str, changed: str | None = None):
+    """pages, two thirds of them made from examples with the page's number inside."""
+    return read_table(spark, d, "pages").select("page_id", F.lit(f"{X.BASE}?pord.pordnr=5").alias("url"), F.expr(site.page(example, changed)).alias("html"))
 
 
-@query()
+@query(f"""SELECT page_id, page_id % 3 > 0 AS parsed, CASE page_id % 3 WHEN 1 THEN 'en' WHEN 2 THEN 'de' END AS language, CASE page_id % 3 WHEN 1 THEN page_id + 1000 || ' - Phase-out Module' WHEN 2 THEN '90003 - Phase-out Module' END AS number,
+  CASE WHEN page_id % 3 > 0 THEN 'Demo Systems' END AS title, CASE WHEN page_id % 3 > 0 THEN 'Demosysteme' END AS translated, CASE WHEN page_id % 3 > 0 THEN 'A|B' END AS contents, CASE WHEN page_id % 3 > 0 THEN '6' END AS credits,
+  CASE WHEN page_id % 3 > 0 THEN 'Open to all.' END AS notes, CASE WHEN page_id % 3 > 0 THEN 'Since: 01.01.2030' END AS phase_out, CASE WHEN page_id % 3 > 0 THEN 'https://www.b-tu.de/m?pord.pordnr=7' END AS follow_up,
+  CASE WHEN page_id % 3 > 0 THEN '11' END AS veranstid, CASE WHEN page_id % 3 > 0 THEN 'https://www.b-tu.de/qisserver3/rds?veranstaltung.veranstid=11' END AS event, CASE WHEN page_id % 3 > 0 THEN 'Unknown Row' END AS unmapped FROM pages""")
+def module_parse(spark, d):
+    parsed = _made(spark, d, X.MODULE_EN, X.MODULE_DE).select("page_id", pages.module_of("html", "url").alias("m"))
+    said = lambda k: F.nullif(F.array_join(F.col("m.fields")[k]["items"], "|"), F.lit(""))
+    keys = {"number": "module_number", "title": "module_title", "translated": "module_title_translated", "contents": "contents", "credits": "credits", "notes": "notes"}
+    first = lambda c: F.get(c, F.lit(0))
+    return parsed.select(
+        "page_id", "m.parsed", "m.language", *[said(k).alias(n) for n, k in keys.items()], F.col("m.phase_out_module.note").alias("phase_out"), first("m.phase_out_module.links")["url"].alias("follow_up"),
+        first("m.event_links")["veranstid"].alias("veranstid"), first("m.event_links")["url"].alias("event"), first("m.unmapped_fields")["label"].alias("unmapped"),
+    )
+
+
+@query("""SELECT page_id, page_id % 3 > 0 AS parsed, CASE WHEN page_id % 3 > 0 THEN 'Vorlesung' END AS event_type, CASE WHEN page_id % 3 > 0 THEN CAST(page_id + 1000 AS VARCHAR) END AS sws, CASE WHEN page_id % 3 > 0 THEN 'Institut ' || page_id + 1000 END AS institution,
+  CASE WHEN page_id % 3 > 0 THEN '1-Gruppe' END AS group_name, CASE WHEN page_id % 3 > 0 THEN 'Mo.' END AS day, CASE WHEN page_id % 3 > 0 THEN 'x' END AS new_column, CASE WHEN page_id % 3 > 0 THEN 'Sonstiges' END AS unmapped FROM pages""")
 def event_parse(spark, d):
-    parsed = _pages_with(spark, d, (f"{X.BASE}?veranstaltung.veranstid=11", X.EVENT)).select("url", pages.event_of("html", "url").alias("e"))
-    return parsed.select("url", "e.veranstid", "e.parsed", "e.parse_error", F.size("e.schedule_groups").alias("groups"), F.size("e.institutions").alias("institutions"), "e.unmapped_sections")
-
-
-@query()
+    parsed = _made(spark, d, site.EVENT).select("page_id", pages.event_of("html", "url").alias("e"))
+    first = lambda c: F.get(c, F.lit(0))
+    date = first(first("e.schedule_groups")["dates"])
+    value = lambda m, *keys: F.coalesce(*[m[k] for k in keys])
+    return parsed.select(
+        "page_id", "e.parsed", F.col("e.basic_data")["event_type"].alias("event_type"), F.get(F.filter(F.map_values("e.basic_data"), lambda v: v.rlike("^1[0-9]{3}$")), F.lit(0)).alias("sws"), F.get(F.map_values(first("e.institutions")), F.lit(0)).alias("institution"),
+        first("e.schedule_groups")["group"].alias("group_name"), value(date, "day").alias("day"), value(date, "neue_spalte").alias("new_column"), first("e.unmapped_sections")["caption"].alias("unmapped"),
+    )
+
+
+@query("""SELECT page_id, page_id % 3 > 0 AS parsed, CASE page_id % 3 WHEN 1 THEN 'Ada Muster' WHEN 2 THEN 'Klara Lang' END AS name, CASE page_id % 3 WHEN 1 THEN 'ada.muster' || page_id + 1000 || '@b-tu.de' WHEN 2 THEN 'klara.lang@b-tu.de' END AS email,
+  CASE page_id % 3 WHEN 1 THEN '+49 355 ' || page_id + 1000 END AS phone, CASE page_id % 3 WHEN 1 THEN '+49 355 000-2' END AS fax, CASE page_id % 3 WHEN 1 THEN '3.39' END AS room, CASE page_id % 3 WHEN 1 THEN 'Hauptgebäude' END AS building,
+  CASE page_id % 3 WHEN 1 THEN 'Sekretariat ' || page_id + 1000 END AS section, CASE page_id % 3 WHEN 1 THEN 'Irgendwas' END AS other, CASE page_id % 3 WHEN 2 THEN 'Born in ' || page_id + 1000 || '.' END AS career, CASE page_id % 3 WHEN 1 THEN 'Bo' END AS sibling FROM pages""")
 def people_parse(spark, d):
-    parsed = _pages_with(spark, d, ("https://www.b-tu.de/fg-x/team", X.TEAM), ("https://www.b-tu.de/fg-x/bo", X.PERSON)).select("url", people.people_of("html", "url").alias("p"))
-    return parsed.select("url", "p.parsed", "p.page_heading", "p.siblings", F.explode_outer("p.people").alias("person")).select("url", "parsed", "page_heading", "siblings", "person.*")
+    parsed = _made(spark, d, site.TEAM, site.PERSON).select("page_id", people.people_of("html", F.lit("https://www.b-tu.de/fg-x/team")).alias("p"))
+    one = parsed.select("page_id", "p.parsed", F.get("p.people", F.lit(0)).alias("x"), F.get("p.siblings", F.lit(0)).alias("s"))
+    lists = {"email": "emails", "phone": "phones", "fax": "faxes", "other": "other_lines"}
+    return one.select("page_id", "parsed", "x.name", *[text.joined(f"x.{c}").alias(n) for n, c in lists.items()], "x.room", "x.building", F.when(F.col("page_id") % 3 == 1, F.col("x.section_heading")).alias("section"), "x.career", F.col("s.label").alias("sibling"))
 
 
-@query()
+@query("""SELECT page_id, 'Fakultät 1' AS faculty_name, 1 AS faculty_number, CAST(o AS INT) AS chair_ord, CASE o WHEN 2 THEN 'ehemalige Fachgebiete' ELSE 'Institut ' || page_id + 1000 END AS institute, ['FG X', 'FG Y', 'FG Z'][o + 1] AS name,
+  ['https://www.b-tu.de/fg-x', NULL, 'https://other.example/z'][o + 1] AS url, o = 2 AS external, ['Prof. Dr. Klara Lang', 'N. N.', NULL][o + 1] AS head_of_chair, CASE WHEN o < 2 THEN 'Gruppe' END AS "group", o = 2 AS former FROM pages, (SELECT unnest(range(3)) AS o) WHERE page_id % 3 > 0""")
 def faculty_parse(spark, d):
-    rows = _pages_with(spark, d, ("https://www.b-tu.de/fakultaet1/x", X.FACULTY)).select("url", people.faculty_of("html", "url").alias("f"))
-    return rows.select(F.col("url").alias("page_url"), "f.faculty_name", "f.faculty_number", F.explode("f.chairs").alias("c")).select("page_url", "faculty_name", "faculty_number", "c.*")
+    rows = _made(spark, d, site.FACULTY).select("page_id", people.faculty_of("html", F.lit("https://www.b-tu.de/fakultaet1/x")).alias("f"))
+    each = rows.select("page_id", "f.faculty_name", "f.faculty_number", F.explode("f.chairs").alias("c"))
+    return each.select("page_id", "faculty_name", "faculty_number", *[f"c.{x}" for x in ("chair_ord", "institute", "name", "url", "external", "head_of_chair", "group", "former")])
 
 
-@query()
+@query("""SELECT page_id, 'FG ' || page_id + 1000 AS chair_title, true AS has_nav, 'Team|Lehre' AS menu, 'Sekretariat|Anfahrt|Ada Muster' AS entries, 'true|false|true' AS designations, 'https://www.b-tu.de/fg-x/team' AS first_url FROM pages WHERE page_id % 3 > 0""")
 def chair_nav_parse(spark, d):
-    rows = _pages_with(spark, d, ("https://www.b-tu.de/fg-x", X.CHAIR)).select("url", people.nav_of("html", "url").alias("n"))
-    return rows.select("url", "n.chair_title", "n.has_nav", "n.menu_labels", F.size("n.team_sections").alias("team_sections"))
+    rows = _made(spark, d, site.CHAIR_PAGE).select("page_id", people.nav_of("html", F.lit("https://www.b-tu.de/fg-x")).alias("n")).where("n.has_nav and page_id % 3 > 0")
+    entries = F.get("n.team_sections", F.lit(0))["entries"]
+    return rows.select("page_id", "n.chair_title", "n.has_nav", F.array_join("n.menu_labels", "|").alias("menu"), F.array_join(entries["designation"], "|").alias("entries"), F.array_join(F.transform(entries["is_designation"], lambda x: x.cast("string")), "|").alias("designations"), F.get(entries["url"], F.lit(0)).alias("first_url"))
 
 
 # --- crawls of the example site ---
@@ -342,9 +465,13 @@ def _module_links(spark):
     return spark.createDataFrame([(f"{X.BASE}?pord.pordnr={n}",) for n in (5, 6, 7, 9)], "url string")
 
 
-@query()
+@query("""SELECT 'https://s.example/' || page_id AS requested_url, CASE page_id % 7 WHEN 0 THEN 404 WHEN 2 THEN NULL ELSE 200 END AS status_code, page_id % 7 NOT IN (0, 2) AS success,
+  CASE page_id % 7 WHEN 0 THEN 'HTTP 404' WHEN 2 THEN 'HTTP 500' END AS error_message, CASE page_id % 7 WHEN 1 THEN 2 WHEN 2 THEN 3 ELSE 1 END AS attempts, CASE WHEN page_id % 7 NOT IN (0, 2) THEN 'page ' || page_id ELSE '' END AS html FROM pages""")
 def fetch_pages(spark, d):
-    return _fetch(_module_links(spark)).select("requested_url", "status_code", "success", "error_message", "attempts")
+    """Each page's address, asked for twice, of a server with refusals, a failure that passes and one that lasts."""
+    urls = read_table(spark, d, "pages").select(F.concat(F.lit("https://s.example/"), "page_id").alias("url"))
+    found = fetch.fetch(urls.unionAll(urls), site.Server, workers=4, policy=fetch.Policy(pause=0, jitter=(0, 0)))
+    return found.select("requested_url", "status_code", "success", "error_message", "attempts", "html")
 
 
 @query()
@@ -371,40 +498,42 @@ def people_crawl(spark, d):
 # --- roster ---
 
 
-def _people(spark):
-    return roster.merge_in_chair(spark.createDataFrame(X.SIGHTINGS, "chair_id string, seq array<int>, name string, emails array<string>, career string"))
+def _people(spark, d):
+    rows = read_table(spark, d, "customer").selectExpr(*site.select(site.SIGHTING))
+    return roster.merge_in_chair(rows.select("chair_id", F.array("k").alias("seq"), "name", F.filter(F.array("email"), lambda e: e.isNotNull()).alias("emails"), "room", "career"))
 
 
-def _chairs(spark):
-    return spark.createDataFrame(X.CHAIRS, "chair_id string, faculty string, faculty_number int, institute string, chair string, chair_url string, chair_is_former boolean, status string, team_menu_found boolean")
+def _chairs(spark, d):
+    return read_table(spark, d, "nation").selectExpr(*site.select(site.CHAIR)).withColumn("seq", F.array("n"))
 
 
-@query("""SELECT * FROM (VALUES ('A', 'Dr. Ada Muster', 'ada.muster@x.de', 'longer career'), ('A', 'Bo Beispiel', 'fg@x.de', NULL), ('B', 'Ada Muster', 'muster@x.de', NULL), ('B', 'Ida Beispiel', NULL, NULL)) AS t(chair_id, name, email, career)""")
+@query(f"WITH {site.PEOPLE_SQL} SELECT chair_id, seq, name, nullif(array_to_string(emails, '; '), '') AS email, room, career FROM p")
 def roster_merge(spark, d):
-    return _people(spark).select("chair_id", "name", text.joined("emails").alias("email"), "career")
+    return _people(spark, d).select("chair_id", F.get("seq", F.lit(0)).alias("seq"), "name", text.joined("emails").alias("email"), "room", "career")
 
 
-@query("""SELECT * FROM (VALUES ('ada-muster', 'Dr. Ada Muster', 'ada.muster@x.de; muster@x.de', 'longer career', 'A; B', 'I1', false), ('beispiel', 'Bo Beispiel', 'fg@x.de', NULL, 'A', 'I1', false),
-  ('ida-beispiel', 'Ida Beispiel', NULL, NULL, 'B', NULL, true)) AS t(key, name, email, career, chair, institute, is_former_chair)""")
+@query(f"WITH {site.EVERYWHERE_SQL} SELECT key, name, email, career, room, chair, is_former_chair FROM flat")
 def roster_flat(spark, d):
-    flat = roster.flat_roster(roster.merge_everywhere(_people(spark), _chairs(spark)))
-    return flat.select("key", "name", "email", "career", "chair", "institute", "is_former_chair")
+    flat = roster.flat_roster(roster.merge_everywhere(_people(spark, d), _chairs(spark, d)))
+    return flat.select("key", "name", "email", "career", "room", "chair", "is_former_chair")
 
 
-@query("SELECT 'ada-muster' AS key")
+@query(f"WITH {site.EVERYWHERE_SQL} SELECT key FROM flat WHERE contains(faculties, 'Fakultät 1') AND (contains(lower(name), 'muster') OR contains(coalesce(email, ''), 'muster') OR contains(lower(chair), 'muster'))")
 def roster_search(spark, d):
-    flat = roster.flat_roster(roster.merge_everywhere(_people(spark), _chairs(spark)))
+    flat = roster.flat_roster(roster.merge_everywhere(_people(spark, d), _chairs(spark, d)))
     return roster.search_roster(flat, faculty="1", q="MUSTER").select("key")
 
 
-@query("SELECT * FROM (VALUES ('Dr. Ada Muster', true), ('Bo Beispiel', false), ('Ada Muster', false), ('Ida Beispiel', false), ('Klara Zimmer', true)) AS t(name, is_head)")
+@query(f"""WITH {site.PEOPLE_SQL}, {site.CHAIRS_SQL}, h AS (SELECT chair_id, trim(head_of_chair) AS head, {site.tokens("head_of_chair")}[-1] AS last FROM c WHERE replace(trim(head_of_chair), ' ', '') NOT IN ('', 'N.N.', 'NN', '-', '—')),
+x AS (SELECT h.chair_id, min(p.seq) AS seq FROM h JOIN p ON h.chair_id = p.chair_id AND list_contains({site.tokens("p.name")}, h.last) GROUP BY h.chair_id)
+SELECT p.chair_id, p.name, x.seq IS NOT NULL AS is_head FROM p LEFT JOIN x ON p.chair_id = x.chair_id AND p.seq = x.seq UNION ALL SELECT chair_id, head, true FROM h WHERE chair_id NOT IN (SELECT chair_id FROM x)""")
 def head_match(spark, d):
-    chairs = spark.createDataFrame([("A", [1], "Prof. Dr. Ada Muster"), ("B", [2], "Klara Zimmer"), ("C", [3], "N. N.")], "chair_id string, seq array<int>, head_of_chair string")
-    everyone, _ = roster.attach_heads(_people(spark), chairs)
-    return everyone.select("name", F.col("is_head_of_chair").alias("is_head"))
+    everyone, _ = roster.attach_heads(_people(spark, d), _chairs(spark, d))
+    return everyone.select("chair_id", "name", F.col("is_head_of_chair").alias("is_head"))
 
 
-@query("""SELECT CAST(2 AS BIGINT) AS faculties, CAST(2 AS BIGINT) AS institutes, CAST(3 AS BIGINT) AS chairs, CAST(1 AS BIGINT) AS chairs_with_team_menu, CAST(2 AS BIGINT) AS chairs_crawled, CAST(1 AS BIGINT) AS chairs_without_link,
-  CAST(0 AS BIGINT) AS chairs_hosted_externally, CAST(0 AS BIGINT) AS chairs_fetch_failed, CAST(3 AS BIGINT) AS people, CAST(2 AS BIGINT) AS people_with_email, CAST(0 AS BIGINT) AS people_with_image, CAST(1 AS BIGINT) AS people_with_career, CAST(0 AS BIGINT) AS people_with_office_hours""")
+@query(f"""WITH {site.EVERYWHERE_SQL} SELECT count(DISTINCT faculty) AS faculties, count(DISTINCT faculty || '/' || coalesce(institute, '')) AS institutes, count(*) AS chairs, count(*) FILTER (WHERE team_menu_found) AS chairs_with_team_menu, count(*) FILTER (WHERE status = 'crawled') AS chairs_crawled,
+  count(*) FILTER (WHERE status = 'no_link') AS chairs_without_link, count(*) FILTER (WHERE status = 'external') AS chairs_hosted_externally, count(*) FILTER (WHERE status = 'fetch_failed') AS chairs_fetch_failed, (SELECT count(*) FROM f) AS people, (SELECT count(*) FROM f WHERE len(emails) > 0) AS people_with_email,
+  CAST(0 AS BIGINT) AS people_with_image, (SELECT count(*) FROM f WHERE length(career) > 0) AS people_with_career, CAST(0 AS BIGINT) AS people_with_office_hours FROM c""")
 def crawl_counters(spark, d):
-    return roster.crawl_counters(_chairs(spark), roster.merge_everywhere(_people(spark), _chairs(spark)))
+    return roster.crawl_counters(_chairs(spark, d), roster.merge_everywhere(_people(spark, d), _chairs(spark, d)))
