@@ -38,13 +38,16 @@ TOKENIZER = "byte_bpe_50k"
 #: Pieces of a task are taken this many at a time, the longest first: small ones are then at hand when gaps are left.
 LOOK_AHEAD = 1024
 _MEETS = re.compile(r"\s\s")
+#: The vocabulary's special token, which its tokenizer finds in texts too, and its id. Fixed value.
+SPECIAL, SPECIAL_ID = "<|endoftext|>", 50256
 
 
 class Encoder:
     """Ids of a text as little-endian unsigned 32-bit bytes.
 
     The vocabulary's pattern looks ahead only where white space meets white space; the texts without such a place (nearly
-    all) are cut by the same pattern without that branch, which the regex engine runs faster, with equal results.
+    all) are cut by the same pattern without that branch, which the regex engine runs faster, with equal results. The special token is one
+    id wherever a text holds it.
     """
 
     def __init__(self, name: str = TOKENIZER):
@@ -55,11 +58,14 @@ class Encoder:
 
         with open(public.path(f"{name}.tiktoken"), "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-        model = lambda pattern: tiktoken.Encoding(name, pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        model = lambda pattern: tiktoken.Encoding(name, pat_str=pattern, mergeable_ranks=ranks, special_tokens={SPECIAL: SPECIAL_ID})
         self.any, self.plain = model(public.PATTERN), model(public.PATTERN.replace(r"|\s+(?!\S)", ""))
 
     def __call__(self, text: str) -> bytes:
-        return array("I", (self.any if _MEETS.search(text) else self.plain).encode_ordinary(text)).tobytes() if text else b""
+        if not text:
+            return b""
+        model = self.any if _MEETS.search(text) else self.plain
+        return array("I", model.encode(text, allowed_special={SPECIAL}) if SPECIAL in text else model.encode_ordinary(text)).tobytes()
 
 
 def cut(length: int, limit: int = LIMIT) -> list[tuple[int, int]]:
