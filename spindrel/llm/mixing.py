@@ -13,8 +13,8 @@ a table that people write, and more sources raise an error. A caller that names
 one part at least) and that period repeated: a short schedule, which is less than one block from the rounded weights.
 
 Every document is placed exactly once. Cases: a null source is a source of its own; a source that the weights don't name, or with weight zero, comes after all
-others in proportion to size; a null or empty text counts as one character. Ties of ids are ordered by text; repeated rows are placed each. A
-document longer than a block leaves its source's next slots empty, which it has used up. An empty table gives an empty result.
+others in proportion to size; a null or empty text counts as one character. Ties of ids are ordered by text; repeated rows are placed each. Columns
+of the input that are named like a result are replaced by it. A document longer than a block leaves its source's next slots empty, which it has used up. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -130,15 +130,20 @@ class Schedule:
         return slot, which
 
 
-def mix(docs: DataFrame, weights: dict[str, float] | None = None, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", block_chars: int = BLOCK_CHARS, temperature: float = TEMPERATURE, period: int | None = None) -> DataFrame:
-    """docs with mix_start (characters of its source before it), mix_block, mix_phase (of its source) and mix_slot. Order by (mix_slot, mix_start)."""
+def mix(docs: DataFrame, weights: dict[str, float] | None = None, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", block_chars: int = BLOCK_CHARS, temperature: float = TEMPERATURE, period: int | None = None, prefix: str = "mix_") -> DataFrame:
+    """docs with mix_start (characters of its source before it), mix_block, mix_phase (of its source) and mix_slot. Order by (mix_slot, mix_start). Another prefix gives
+    other names; columns of docs that are named like a result are replaced by it."""
     buckets = 1 << max(6, ceil(log2(max(1, docs.count() / ROWS_A_BUCKET))))
+    results = [f"{prefix}{x}" for x in ("start", "block", "phase", "slot")]
+    kept = [c for c in docs.columns if c not in results]
     named = F.coalesce(F.concat(F.lit("="), F.col(source_col).cast("string")), F.lit(""))
-    rows = docs.withColumns({"__s": named, "__b": F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(buckets)), "__n": F.greatest(F.coalesce(F.length(text_col), F.lit(1)), F.lit(1)).cast("long"), "__h": F.xxhash64(text_col)})
-    sums = rows.groupBy("__s", "__b").agg(F.sum("__n").alias("__t"))
-    upto = Window.partitionBy("__s").orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    bases = sums.withColumn("__base", F.coalesce(F.sum("__t").over(upto), F.lit(0).cast("long"))).drop("__t")
-    totals = sorted((r["__s"], r["t"]) for r in sums.groupBy("__s").agg(F.sum("__t").alias("t")).limit(MOST_SOURCES + 1).collect())
+    text_hash = F.xxhash64(text_col)
+    own = F.struct(named.alias("s"), F.pmod(F.xxhash64(F.col(id_col).cast("string"), text_hash), F.lit(buckets)).alias("b"), F.greatest(F.coalesce(F.length(text_col), F.lit(1)), F.lit(1)).cast("long").alias("n"), F.col(id_col).alias("id"), text_hash.alias("h"))
+    rows = docs.select(F.struct(*kept).alias("row"), own.alias("own")).select("row", "own.*")
+    sums = rows.groupBy("s", "b").agg(F.sum("n").alias("t"))
+    upto = Window.partitionBy("s").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
+    bases = sums.withColumn("base", F.coalesce(F.sum("t").over(upto), F.lit(0).cast("long"))).drop("t")
+    totals = sorted((r["s"], r["t"]) for r in sums.groupBy("s").agg(F.sum("t").alias("t")).limit(MOST_SOURCES + 1).collect())
     if len(totals) > MOST_SOURCES:
         raise ValueError(f"more than {MOST_SOURCES} sources: give groups of sources one name each")
     whole = sum(t for _, t in totals) or 1
@@ -153,16 +158,20 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, id_col: str =
             slot[at], phase[at] = schedule.value.place(number[s], block.to_numpy()[at])
         return pd.DataFrame({"slot": slot, "phase": phase.astype(np.int32)})
 
-    inside = Window.partitionBy("__s", "__b").orderBy(id_col, "__h").rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.join(bases, ["__s", "__b"]).withColumn("mix_start", F.col("__base") + F.coalesce(F.sum("__n").over(inside), F.lit(0).cast("long")))
-    rows = rows.withColumn("mix_block", F.floor(F.col("mix_start") / block_chars).cast("long"))
-    rows = rows.withColumn("__p", placed("__s", "mix_block"))
-    return rows.select(*docs.columns, "mix_start", "mix_block", F.col("__p.phase").alias("mix_phase"), F.col("__p.slot").alias("mix_slot"))
+    inside = Window.partitionBy("s", "b").orderBy("id", "h").rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.join(bases, ["s", "b"]).withColumn("start", F.col("base") + F.coalesce(F.sum("n").over(inside), F.lit(0).cast("long")))
+    rows = rows.withColumn("block", F.floor(F.col("start") / block_chars).cast("long"))
+    rows = rows.withColumn("p", placed("s", "block"))
+    return rows.select("row.*", *[c.alias(n) for n, c in zip(results, (F.col("start"), F.col("block"), F.col("p.phase"), F.col("p.slot")), strict=True)])
 
 
-def in_order(docs: DataFrame, mixed: DataFrame, partitions: int) -> DataFrame:
-    """The documents laid out in mixing order: partition after partition, and inside each."""
-    return mixed.repartitionByRange(partitions, "mix_slot", "mix_start").sortWithinPartitions("mix_slot", "mix_start").select(*docs.columns)
+def in_order(docs: DataFrame, weights: dict[str, float] | None = None, partitions: int = 200, **how) -> DataFrame:
+    """The documents laid out in mixing order: partition after partition, and inside each. All their columns stay as they are."""
+    prefix = "mix_"
+    while any(c.startswith(prefix) for c in docs.columns):
+        prefix += "_"
+    slot, start = f"{prefix}slot", f"{prefix}start"
+    return mix(docs, weights, prefix=prefix, **how).repartitionByRange(partitions, slot, start).sortWithinPartitions(slot, start).select(*docs.columns)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
