@@ -110,6 +110,28 @@ def test_quality_edges(spark):
     assert len(quality_classifier.sample(docs, empty)[1]) == 0
 
 
+def test_votes_are_those_of_a_plain_search(monkeypatch):
+    rng = np.random.default_rng(4)
+    words = ["good", "words", "here", "BAD!!", "now", "x1", "y|", "Z"]
+    counts = quality_classifier.Terms().many([" ".join(rng.choice(words, rng.integers(3, 30))) for _ in range(90)])
+    labels = rng.integers(0, 2, 60).astype(np.float32)
+    space = quality_classifier.Space(counts[:60], labels, axes=6)
+    monkeypatch.setattr(quality_classifier, "_BLOCK", 7)
+    got = space.score(counts[60:], neighbours=9)
+    for row, score in zip(counts[60:], got, strict=True):
+        v = space.weigh(row[None].copy())[0] @ space.axes
+        cosine = [float(v @ u / np.linalg.norm(v)) for u in space.vectors]
+        near = sorted(range(60), key=lambda k: -cosine[k])[:9]
+        weight = [max(cosine[k], 0) ** 4 for k in near]
+        assert abs(score - sum(w * labels[k] for w, k in zip(weight, near, strict=True)) / sum(weight)) < 1e-3
+
+
+def test_a_labelled_sample_of_repeated_ids_is_bounded(spark):
+    docs = spark.createDataFrame([(1, f"text {k}") for k in range(50)] + [(None, "no id")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1)], "doc_id long, quality int")
+    assert zlib.crc32(b"1") % 5 != 0 and len(quality_classifier.sample(docs, labels, most=7)[1]) == 7
+
+
 @pytest.mark.parametrize("block", [5, 200_000])
 def test_terms_do_not_depend_on_blocks(monkeypatch, block):
     texts = ["a a b a", "", None, "X!! y | z# 12", "a b"]
