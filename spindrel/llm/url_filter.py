@@ -24,6 +24,18 @@ STRICT = ("casino", "adult", "porn", "xxx", "viagra", "escort", "hentai", "camgi
 #: ``soft_limit`` different ones of these reject.
 SOFT = ("spam", "farm", "cheap", "pills", "ads", "track", "free", "bets", "bet", "win", "bonus", "loan", "deal", "poker", "sex", "click")
 SOFT_LIMIT = 2
+MOST_TERMS = 1_000_000
+
+
+def vocabulary(table: DataFrame, term: str = "term", weight: str = "weight") -> tuple[tuple[str, ...], tuple[str, ...]]:
+    """(strict, soft) terms of a table of terms and weights ``strict`` and ``soft``, A-Z lower-cased, for ``url_filter``. A vocabulary is written by people and goes to
+    every task; over MOST_TERMS terms raise an error. Null or empty terms and other weights don't count."""
+    low = F.translate(F.col(term), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    rows = table.where(F.col(weight).isin("strict", "soft") & (F.length(term) > 0)).select(low.alias("t"), F.col(weight).alias("w")).distinct().limit(MOST_TERMS + 1).collect()
+    if len(rows) > MOST_TERMS:
+        raise ValueError(f"more than {MOST_TERMS} terms")
+    strict = {r["t"] for r in rows if r["w"] == "strict"}
+    return tuple(sorted(strict)), tuple(sorted({r["t"] for r in rows} - strict))
 
 
 def split_url(urls: DataFrame, url: str = "url") -> DataFrame:
