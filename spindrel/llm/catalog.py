@@ -25,8 +25,10 @@ def _modules() -> dict:
 
 
 def queries() -> dict[str, Callable]:
-    return {name: m.query for name, m in _modules().items()}
+    own = _modules()
+    return {name: m.query for name, m in own.items()} | {"rule_ablations": own["op2_quality_rules"].ablation_query}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: m.ORACLE_SQL for name, m in _modules().items() if m.ORACLE_SQL}
+    own = _modules()
+    return {name: m.ORACLE_SQL for name, m in own.items() if m.ORACLE_SQL} | {"rule_ablations": own["op2_quality_rules"].ABLATION_SQL}

@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spindrel.llm.common import written
+
 SPACES = " \t\n\x0b\f\r"
 SYMBOLS = "#*$%&|<>"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -136,6 +138,12 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed_base.alias("base_failed"), (~failed_base & passes("v1")).alias("kept"), F.col("failed").alias("failed_rules"))
 
 
+def ablation_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each rule of the policy in force rejects, from a ledger that is written once."""
+    table = written(ledger(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")).select("doc_id", "failed"))
+    return ablations(table, "v1")
+
+
 def _oracle() -> str:
     sp = "[\\x20\\x09-\\x0D]"
     fail = " | ".join(f"(CASE WHEN {f} THEN {1 << k} ELSE 0 END)" for k, (_, f) in enumerate(RULES))
@@ -158,4 +166,12 @@ def _oracle() -> str:
       (failed_rules & {mask(POLICIES["v1"])}) = 0 AS kept, failed_rules FROM f"""
 
 
+def _ablation_oracle() -> str:
+    full = mask(POLICIES["v1"])
+    each = " UNION ALL ".join(f"SELECT '{n}' AS rule, {mask([n])} AS bit" for n in POLICIES["v1"])
+    return f"""WITH l AS (SELECT failed_rules & {full} AS f FROM ({ORACLE_SQL})), r AS ({each})
+    SELECT rule, CAST(count(*) FILTER (WHERE f & bit <> 0) AS BIGINT) AS rejected, CAST(count(*) FILTER (WHERE f = bit) AS BIGINT) AS alone, CAST(count(*) FILTER (WHERE f = bit OR f = 0) AS BIGINT) AS kept_without FROM r, l GROUP BY rule"""
+
+
 ORACLE_SQL = _oracle()
+ABLATION_SQL = _ablation_oracle()

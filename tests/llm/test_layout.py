@@ -20,12 +20,10 @@ DATA = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
 
 
-ODD = ["", "a  b", "a \nb", " x", "x ", "\n\na b", "a\tb c", "don't 's x y z", "naïve  ", "\x1c a b", "a\x1cb c \x85 d", "a　b c", "  ", "\n", "1 2\n3 ''s ll", "<|endoftext|> hi", "\u2028x\u2029 y", "x\xa0 y"]
+ODD = ["", "a  b", "a \nb", " x", "x ", "\n\na b", "a\tb c", "don't 's x y z", "naïve  ", "\x1c a b", "a\x1cb c \x85 d", "a　b c", "  ", "\n", "1 2\n3 ''s ll", "<|endoftext|> hi", "a  <|endoftext|>  b <|endoftext|>", "x<|endoftext|><|endoftext|>\n\ny", "<|endoftext |>", "\u2028x\u2029 y", "x\xa0 y"]
 
 
 def test_encoder_equals_the_tokenizer(tokenizer):
@@ -158,11 +156,38 @@ def test_mix(spark):
             at += max(1, len(r["text"] or ""))
     place = {(r["source"], r["mix_block"]): r["mix_slot"] for r in got}
     assert len(set(place.values())) == len(place) and place[(None, 0)] == max(place.values())
-    laid = mixing.in_order(table, mixing.mix(table, {"a": 1.0, "b": 1.0}, block_chars=100), 3)
+    laid = mixing.in_order(table, {"a": 1.0, "b": 1.0}, partitions=3, block_chars=100)
     assert laid.columns == table.columns and sorted(map(str, laid.collect())) == sorted(map(str, table.collect()))
     assert mixing.mix(table.limit(0)).count() == 0
 
 
+def test_schedule_is_earliest_deadline_first():
+    """Against a plain simulation that looks at every source in every slot."""
+    rng = random.Random(8)
+    for _ in range(20):
+        n = rng.randint(2, 6)
+        weights, left = [rng.choice([rng.random(), 0.1, 1e-3, 7.0]) for _ in range(n)], [rng.randint(1, 60) for _ in range(n)]
+        got, total = mixing.one_phase(weights, left), sum(map(Fraction, weights))
+        done, slots, t = [0] * n, [[] for _ in range(n)], 0
+        while all(done[s] < left[s] for s in range(n)):
+            share = [Fraction(w) / total for w in weights]
+            ready = [(-(-(done[s] + 1) // share[s]), s) for s in range(n) if done[s] // share[s] <= t]
+            _, s = min(ready)
+            slots[s].append(t)
+            done[s] += 1
+            t += 1
+        assert [x.tolist() for x in got] == slots
+
+
+def test_mix_replaces_columns_of_its_names_and_deals_equal_ids(spark):
+    rows = [(7, f"t{k}" * 3, "a", "kept", k) for k in range(40)] + [(None, "n", None, "kept", 99)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string, mix_slot string, __s int")
+    got = mixing.mix(table, block_chars=20)
+    assert len(set(got.columns)) == len(got.columns) and dict(got.dtypes)["mix_slot"] == "bigint" and got.count() == 41 and got.select("__s").distinct().count() == 41
+    laid = mixing.in_order(table, partitions=2, block_chars=20)
+    assert laid.columns == table.columns and {r["mix_slot"] for r in laid.collect()} == {"kept"}
+
+
 def test_pipeline(spark, tmp_path):
     words = [f"w{k}" for k in range(400)]
     texts = ["the and of " + " ".join(words[:200]), "the and of " + " ".join(words[:200]), "der die und " + " ".join(words[200:300]), "the of " + " ".join(words[300:]) + " " + " ".join(words[200:300]), None, "123", "the of and in to"]
@@ -188,9 +213,9 @@ def test_pack_takes_arrivals_in_mixing_order_after_a_reread(spark, tmp_path):
     rng = random.Random(5)
     rows = [(k, " ".join(rng.choices("abcdefgh", k=rng.choice((3, 30, 200 if k > 2000 else 5)))), f"s{k % 3}") for k in range(3000)]
     table = spark.createDataFrame(rows, "doc_id long, text string, source string")
-    mixed = mixing.mix(table, {"s0": 5.0, "s1": 2.0, "s2": 1.0}, block_chars=2000)
-    want = [r["doc_id"] for r in mixed.orderBy("mix_slot", "mix_start").collect()]
-    mixing.in_order(table, mixed, 12).write.option("maxRecordsPerFile", 100).parquet(str(tmp_path / "laid"))
+    weights = {"s0": 5.0, "s1": 2.0, "s2": 1.0}
+    want = [r["doc_id"] for r in mixing.mix(table, weights, block_chars=2000).orderBy("mix_slot", "mix_start").collect()]
+    mixing.in_order(table, weights, partitions=12, block_chars=2000).write.option("maxRecordsPerFile", 100).parquet(str(tmp_path / "laid"))
     docs = spark.read.parquet(str(tmp_path / "laid"))
     thin = packing.pieces(docs, order=packing.file_order(docs)).orderBy("order_0", "order_1", "order_2", "arrival").collect()
     assert [r["doc_id"] for r in thin if r["piece"] == 0] == want

@@ -106,3 +106,12 @@ def test_url_filter(spark):
 def test_scan_counts_whole_terms_only():
     terms = url_filter.automaton()
     assert url_filter.scan("free-bets.example", terms) == (True, 0, 2) and url_filter.scan("freebets", terms) == (False, 0, 0) and url_filter.scan("xxx.xxx", terms)[1] == 2
+
+
+def test_large_vocabularies_come_from_tables(spark):
+    terms = [(f"Term{k}", "strict" if k % 10 == 0 else "soft") for k in range(50_000)] + [(None, "soft"), ("", "strict"), ("term10", "soft"), ("other", "unknown")]
+    strict, soft = url_filter.vocabulary(spark.createDataFrame(terms, "term string, weight string"))
+    assert len(strict) == 5000 and len(soft) == 45_000 and "term10" not in soft
+    urls = spark.createDataFrame([(0, "http://h.org/term40"), (1, "http://h.org/term41-term42"), (2, "http://h.org/term41-term41"), (3, "http://h.org/xterm40"), (4, "http://h.org/TERM49990")], "page_id int, url string")
+    got = {r["page_id"]: (r["verdict"], r["strict_hits"], r["soft_terms"]) for r in url_filter.url_filter(urls, strict=strict, soft=soft).collect()}
+    assert got == {0: ("block", 1, 0), 1: ("block", 0, 2), 2: ("allow", 0, 1), 3: ("allow", 0, 0), 4: ("block", 1, 0)}
