@@ -57,7 +57,7 @@ def cut_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.in_order(docs, mixing.mix(docs), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return mixing.in_order(docs, partitions=int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
