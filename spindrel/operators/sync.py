@@ -46,7 +46,7 @@ def chunk_rows(documents: DataFrame, content: str = "content") -> DataFrame:
 def sync(table: SnapshotTable, incoming: DataFrame, make=HashingEmbedder, ratio: float = V.RECONCILE_RATIO) -> dict:
     """Bring the table in step with incoming (doc_id, content, url, title); counts of what was done.
 
-    Unchanged documents aren't chunked or embedded again. The new version holds all or nothing of the run.
+    Unchanged documents aren't chunked or embedded again, and buckets without a change aren't written. The new version holds all or nothing of the run.
     """
     table.setup()
     model, store = make(), table.read()
@@ -56,13 +56,16 @@ def sync(table: SnapshotTable, incoming: DataFrame, make=HashingEmbedder, ratio:
         fresh = incoming.join(todo.where("action in ('new', 'changed')").select("doc_id"), "doc_id", "left_semi")
         chunks = chunk_rows(fresh).withColumns({"vector": embed(make)("text"), "model": F.lit(model.name)}).persist()
         gone = todo.where("action in ('changed', 'stale')").select("doc_id")
-        kept = store.join(gone, "doc_id", "left_anti").join(chunks.select("id"), "id", "left_anti")
         repeated = chunks.groupBy("id").count().where("count > 1").limit(3).collect()
         if repeated:
             raise ValueError(f"documents share chunk ids (one URL for several documents?): {[r['id'] for r in repeated]}")
         added = chunks.count()
         if added or counts.get("changed") or counts.get("stale"):
-            table.replace(kept.unionByName(chunks))
+            taken = store.join(chunks.select("id"), "id", "left_semi").select("doc_id")  # chunks of other documents under an id that is new here
+            touched = gone.unionByName(chunks.select("doc_id")).unionByName(taken).select(table.bucket().alias("b")).distinct()
+            parts = [r["b"] for r in touched.collect()]  # bucket numbers
+            kept = store.where(table.bucket().isin(parts)).join(gone, "doc_id", "left_anti").join(chunks.select("id"), "id", "left_anti")
+            table.replace(kept.unionByName(chunks), parts)
         chunks.unpersist()
         return {**{k: counts.get(k, 0) for k in ("new", "changed", "unchanged", "blank", "stale", "held")}, "chunks": added, "points_count": table.read().count()}
     finally:

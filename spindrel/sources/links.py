@@ -39,7 +39,7 @@ def load_urls(spark: SparkSession, path: str) -> DataFrame:
 
 def read_links(spark: SparkSession, root: str) -> DataFrame:
     """(ord, url) of the list in force; empty where there is none."""
-    return SnapshotTable(spark, root, LINKS).read()
+    return SnapshotTable(spark, root, LINKS, key="url", buckets=1).read()
 
 
 def catalogue_links(fetched: DataFrame, html: str = "html", url: str = "url") -> DataFrame:
@@ -78,7 +78,7 @@ def rebuild_links(spark: SparkSession, root: str, fetch: Callable[[], tuple[str,
         said = page.select(text.result_count("html").alias("n")).first()["n"]
         if total < least:
             raise LinksRefused(f"{total} module links parsed, fewer than {least}: the list stays as it is. Give least=0 to take any number.")
-        table = SnapshotTable(spark, root, LINKS)
+        table = SnapshotTable(spark, root, LINKS, key="url", buckets=1)
         row = report(table.read(), scraped).first().asDict()
         if not dry_run:
             table.replace(scraped)

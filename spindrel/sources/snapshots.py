@@ -1,13 +1,17 @@
-"""A table as numbered snapshots with a pointer: readers see one version or the next, never half of one.
+"""A table in hash buckets with a manifest: readers see one version or the next, never half of one, and a version writes only the buckets that it changes.
 
-``<root>/v=<n>`` holds version n as Parquet, ``<root>/_current`` the number in force. A write makes a new folder and then replaces the pointer
-by a rename, through Hadoop's file systems, so it works on any store that Spark writes to. The version before stays for readers that
-still use it.
+``<root>/v=<n>/b=<k>`` holds bucket k as version n wrote it, ``<root>/_current`` the version in force and the folder of each of its buckets. A write makes new folders
+and then replaces the manifest by a rename, through Hadoop's file systems, so it works on any store that Spark writes to. A second writer of
+the same version is refused. Folders that neither the version in force nor the one before it needs are deleted, so readers may finish what they began.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import json
+from collections.abc import Iterable
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from spindrel.functions import fixed_values as V
@@ -28,11 +32,17 @@ CHUNK_SCHEMA = T.StructType(
 )
 
 
+class WriteRefused(RuntimeError):
+    """Another writer is at work on the table, or was and failed."""
+
+
 class SnapshotTable:
-    def __init__(self, spark: SparkSession, root: str, schema: T.StructType = CHUNK_SCHEMA):
-        self.spark, self.root, self.schema = spark, root.rstrip("/"), schema
+    """``buckets`` is how finely a write can be told from the rest; it is set when a table is made and kept in its manifest."""
 
-    # --- the pointer ---
+    def __init__(self, spark: SparkSession, root: str, schema: T.StructType = CHUNK_SCHEMA, key: str = "doc_id", buckets: int = 16):
+        self.spark, self.root, self.schema, self.key, self._buckets = spark, root.rstrip("/"), schema, key, buckets
+
+    # --- the manifest ---
 
     def _path(self, name: str):
         return self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
@@ -40,24 +50,31 @@ class SnapshotTable:
     def _conf(self):
         return self.spark._jsc.hadoopConfiguration()
 
-    def version(self) -> int | None:
-        """The version in force, or None for a table that doesn't exist."""
+    def _files(self):
+        return self._path("_current").getFileSystem(self._conf())
+
+    def manifest(self) -> dict | None:
+        """version, buckets, parts (bucket -> version that wrote it), before (the parts of the version before); None for a table that doesn't exist."""
         path = self._path("_current")
-        store = path.getFileSystem(self._conf())
-        if not store.exists(path):
+        if not self._files().exists(path):
             return None
-        stream = store.open(path)
+        stream = self._files().open(path)
         try:
-            reader = self.spark._jvm.java.io.BufferedReader(self.spark._jvm.java.io.InputStreamReader(stream))
-            return int(reader.readLine())
+            reader = self.spark._jvm.java.io.BufferedReader(self.spark._jvm.java.io.InputStreamReader(stream, "UTF-8"))
+            return json.loads(reader.readLine())
         finally:
             stream.close()
 
-    def _point(self, version: int) -> None:
-        fresh, path = self._path(f"_next-{version}"), self._path("_current")
-        stream = fresh.getFileSystem(self._conf()).create(fresh, True)
+    def version(self) -> int | None:
+        """The version in force, or None for a table that doesn't exist."""
+        found = self.manifest()
+        return found["version"] if found else None
+
+    def _point(self, manifest: dict) -> None:
+        fresh, path = self._path(f"_next-{manifest['version']}"), self._path("_current")
+        stream = self._files().create(fresh, True)
         try:
-            stream.write(bytearray(str(version).encode()))
+            stream.write(bytearray(json.dumps(manifest).encode()))
         finally:
             stream.close()
         files = self.spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(fresh.toUri(), self._conf())
@@ -65,8 +82,34 @@ class SnapshotTable:
         options[0] = self.spark._jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
         files.rename(fresh, path, options)
 
+    def _names(self, folder: str, prefix: str) -> list[int]:
+        path = self._path(folder)
+        found = self._files().listStatus(path) if self._files().exists(path) else []
+        names = [f.getPath().getName() for f in found]
+        return sorted(int(n[len(prefix) :]) for n in names if n.startswith(prefix))
+
+    def _sweep(self, manifest: dict) -> None:
+        """Delete the folders that no manifest names any more: a listing of a few versions' buckets."""
+        used = {(int(k), v) for parts in (manifest["parts"], manifest["before"]) for k, v in parts.items()}
+        for v in self._names("", "v="):
+            if v <= manifest["version"]:
+                own = self._names(f"v={v}", "b=")
+                for k in own:
+                    if (k, v) not in used:
+                        self._files().delete(self._path(f"v={v}/b={k}"), True)
+                if not any((k, v) in used for k in own):
+                    self._files().delete(self._path(f"v={v}"), True)
+
     # --- the table ---
 
+    @property
+    def buckets(self) -> int:
+        found = self.manifest()
+        return found["buckets"] if found else self._buckets
+
+    def bucket(self) -> Column:
+        return F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int")
+
     def setup(self) -> bool:
         """Make an empty table if there is none; whether one was made."""
         if self.version() is not None:
@@ -75,16 +118,31 @@ class SnapshotTable:
         return True
 
     def read(self) -> DataFrame:
-        version = self.version()
-        if version is None:
+        found = self.manifest()
+        if found is None or not found["parts"]:
             return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(f"{self.root}/v={version}")
-
-    def replace(self, rows: DataFrame) -> int:
-        """Write rows as the next version, then let readers see it."""
-        version = (self.version() or 0) + 1
-        rows.select(*self.schema.names).write.mode("overwrite").parquet(f"{self.root}/v={version}")
-        self._point(version)
+        return self.spark.read.schema(self.schema).parquet(*[f"{self.root}/v={v}/b={k}" for k, v in found["parts"].items()])
+
+    def replace(self, rows: DataFrame, touched: Iterable[int] | None = None) -> int:
+        """Write rows as the next version, then let readers see it. With ``touched`` they are all rows of these buckets, and the others stay as they are."""
+        found, bucket = self.manifest(), self.bucket()
+        version = (found["version"] if found else 0) + 1
+        claim = self._path(f"_claim-{version}")
+        if not self._files().createNewFile(claim):
+            raise WriteRefused(f"version {version} is being written by another run; if that run is gone, delete {claim}")
+        try:
+            if (self.version() or 0) + 1 != version:
+                raise WriteRefused(f"version {version} was written meanwhile")
+            self._files().delete(self._path(f"v={version}"), True)  # what a run that failed has left
+            rows.select(*self.schema.names).withColumn("b", bucket).repartition("b").write.partitionBy("b").parquet(f"{self.root}/v={version}")
+            old = found["parts"] if found else {}
+            gone = None if touched is None else {str(k) for k in touched}
+            kept = {} if gone is None else {k: v for k, v in old.items() if k not in gone}
+            manifest = {"version": version, "buckets": found["buckets"] if found else self._buckets, "parts": kept | {str(k): version for k in self._names(f"v={version}", "b=")}, "before": old}
+            self._point(manifest)
+            self._sweep(manifest)
+        finally:
+            self._files().delete(claim, False)
         return version
 
     def clear(self) -> dict:
@@ -96,8 +154,6 @@ class SnapshotTable:
 
     def check_width(self, width: int = V.EMBEDDING_WIDTH) -> None:
         """Vectors of another width, or of more than one model, don't belong in one table."""
-        from pyspark.sql import functions as F
-
         row = self.read().agg(F.count_if(F.size("vector") != width).alias("odd"), F.count_distinct("model").alias("models")).first()
         if row["odd"] or row["models"] > 1:
             raise ValueError(f"{row['odd']} vectors aren't {width} wide, {row['models']} models in one table")

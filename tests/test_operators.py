@@ -27,6 +27,35 @@ def test_sync_follows_its_documents(spark, tmp_path):
     assert table.clear() == {"collection": "kb", "existed": True, "removed": len(rows), "points_count": 0}
 
 
+def test_only_buckets_with_changes_are_written(spark, tmp_path):
+    table = SnapshotTable(spark, str(tmp_path / "kb"), buckets=8)
+    rows = [(f"d{k}", f"text {k}") for k in range(40)]
+    sync.sync(table, _documents(spark, rows))
+    first = table.manifest()
+    assert len(first["parts"]) == 8 and set(first["parts"].values()) == {2}
+    reader = table.read()
+    done = sync.sync(table, _documents(spark, [(d, c if d != "d7" else "changed") for d, c in rows]))
+    second = table.manifest()
+    assert done["changed"] == 1 and sorted(second["parts"].values()) == [2] * 7 + [3] and second["before"] == first["parts"]
+    assert reader.count() == 40 and table.read().where("text = 'changed'").count() == 1  # the version before is still there
+    sync.sync(table, _documents(spark, [(d, c if d != "d7" else "again") for d, c in rows]))
+    left = sorted(p.relative_to(tmp_path / "kb").as_posix() for p in (tmp_path / "kb").glob("v=*/b=*"))
+    assert len(left) == 9 and table.read().count() == 40 and not list((tmp_path / "kb").glob("_claim*"))
+
+
+def test_a_second_writer_is_refused(spark, tmp_path):
+    from spindrel.sources.snapshots import WriteRefused
+
+    table = SnapshotTable(spark, str(tmp_path / "kb"))
+    table.setup()
+    (tmp_path / "kb" / "_claim-2").touch()
+    with pytest.raises(WriteRefused):
+        sync.sync(table, _documents(spark, [("a", "x")]))
+    assert table.version() == 1 and table.read().count() == 0
+    (tmp_path / "kb" / "_claim-2").unlink()
+    assert sync.sync(table, _documents(spark, [("a", "x")]))["new"] == 1
+
+
 def test_a_failed_crawl_deletes_nothing(spark, tmp_path):
     table = SnapshotTable(spark, str(tmp_path / "kb"))
     sync.sync(table, _documents(spark, [(f"d{k}", str(k)) for k in range(5)]))
