@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spindrel.llm.common import by_group, deal, durable, group_numbers, local_components
-from spindrel.llm.graph import components
+from spindrel.llm.graph import components, least_of
 
 THRESHOLD = 0.93
 TARGET = 0.99
@@ -122,10 +122,8 @@ def near_vectors(table: DataFrame, id_col: str = "vec_id", vector_col: str = "em
     largest = classes.groupBy("label").count().agg(F.max("count")).first()[0] or 0
     found = durable(_linked(classes, largest, threshold, target, sub_block))
     per = found.groupBy(F.col("a").alias("class")).agg(F.sum("links").alias("links"))
-    roots = components(found.where("b is not null"), "a", "b").withColumnRenamed("node", "class")
-    each = classes.select("label", "h1", "h2", "least", "n", "class").join(per, "class", "left").join(roots, "class", "left").withColumn("root", F.coalesce("root", "class"))
-    least = each.groupBy("root").agg(F.min("least").alias("component_id"))
-    each = each.join(least, "root").select("label", "h1", "h2", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), "component_id")
+    least = least_of(classes.select(F.col("class").alias("node"), "least"), components(found.where("b is not null"), "a", "b"), "least").toDF("class", "component_id")
+    each = classes.select("label", "h1", "h2", "n", "class").join(per, "class", "left").join(least, "class").select("label", "h1", "h2", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), "component_id")
     good = own.select("id", "label", "h1", "h2").join(each, ["label", "h1", "h2"]).select("id", "n_links", "component_id")
     rest = rows.where("not ok").select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
     return good.unionByName(rest).select(F.col("id").alias(id_col), "n_links", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))

@@ -36,6 +36,19 @@ def components(edges: DataFrame, a: str, b: str, max_rounds: int = 60) -> DataFr
     return e.select(F.col("hi").alias("node"), F.col("lo").alias("root")).unionByName(e.select(F.col("lo").alias("node"), F.col("lo").alias("root")).distinct())
 
 
+#: Parts that the nodes of a component are dealt over where they get its value back: one component may hold most nodes.
+SALTS = 32
+
+
+def least_of(nodes: DataFrame, roots: DataFrame, value: str) -> DataFrame:
+    """(node, value) for every node: the least value of its component. nodes: node, value; roots as components gives them, so nodes without a link keep their own."""
+    own = nodes.select("node", value).join(roots, "node", "left")
+    alone = own.where("root is null").select("node", value)
+    linked = own.where("root is not null").withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)))
+    least = linked.groupBy("root").agg(F.min(value).alias("least")).withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    return alone.unionByName(linked.join(least, ["root", "salt"]).select("node", F.col("least").alias(value)))
+
+
 def _digest(e: DataFrame) -> tuple:
     row = e.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("lo", "hi").cast("decimal(38,0)")).alias("h")).first()
     return (row["n"], row["h"])

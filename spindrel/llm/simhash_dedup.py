@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spindrel.llm.common import by_group, deal, durable, group_numbers, local_components, texts_of, with_id_type
-from spindrel.llm.graph import components
+from spindrel.llm.graph import components, least_of
 
 SHINGLE = 4
 SEED = 42
@@ -179,10 +179,8 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """id, fingerprint (16 hex digits), component_id (the smallest id reachable by links)."""
     own = durable(fingerprints(docs, id_col, text_col))
     fps = durable(own.groupBy("fp").agg(F.min(id_col).alias("least")))
-    roots = components(links(fps, radius), "a", "b").withColumnRenamed("node", "fp")
-    grouped = fps.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    least = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = grouped.join(least, "root").select("fp", "component_id")
+    roots = components(links(fps, radius), "a", "b")
+    classes = least_of(fps.withColumnRenamed("fp", "node"), roots, "least").toDF("fp", "component_id")
     return own.join(classes, "fp").select(id_col, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 

@@ -43,6 +43,14 @@ def test_components(spark):
     assert graph.components(table.limit(0), "a", "b").count() == 0
 
 
+def test_least_of_components(spark):
+    nodes = spark.createDataFrame([(k, (k * 37) % 101) for k in range(100)], "node long, v long")
+    links = [(1, k) for k in range(2, 60)] + [(70, 71)]
+    got = {r["node"]: r["v"] for r in graph.least_of(nodes, graph.components(spark.createDataFrame(links, "a long, b long"), "a", "b"), "v").collect()}
+    value = {k: (k * 37) % 101 for k in range(100)}
+    assert got == {k: min(value[x] for x in range(1, 60)) if 1 <= k < 60 else min(value[70], value[71]) if k in (70, 71) else v for k, v in value.items()}
+
+
 # --- SimHash ---
 
 
