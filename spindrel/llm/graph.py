@@ -45,8 +45,8 @@ def least_of(nodes: DataFrame, roots: DataFrame, value: str) -> DataFrame:
     own = nodes.select("node", value).join(roots, "node", "left")
     alone = own.where("root is null").select("node", value)
     linked = own.where("root is not null").withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)))
-    least = linked.groupBy("root").agg(F.min(value).alias("least")).withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
-    return alone.unionByName(linked.join(least, ["root", "salt"]).select("node", F.col("least").alias(value)))
+    least = linked.groupBy("root").agg(F.min(value).alias("__least")).withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    return alone.unionByName(linked.join(least, ["root", "salt"]).select("node", F.col("__least").alias(value)))
 
 
 def _digest(e: DataFrame) -> tuple:

@@ -136,14 +136,14 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, id_col: str =
     buckets = 1 << max(6, ceil(log2(max(1, docs.count() / ROWS_A_BUCKET))))
     results = [f"{prefix}{x}" for x in ("start", "block", "phase", "slot")]
     kept = [c for c in docs.columns if c not in results]
+    source, bucket, size, base, spot, start, block, text_hash = (free_prefix(docs, "__") + x for x in ("source", "bucket", "size", "base", "spot", "start", "block", "hash"))
     named = F.coalesce(F.concat(F.lit("="), F.col(source_col).cast("string")), F.lit(""))
-    text_hash = F.xxhash64(text_col)
-    own = F.struct(named.alias("s"), F.pmod(F.xxhash64(F.col(id_col).cast("string"), text_hash), F.lit(buckets)).alias("b"), F.greatest(F.coalesce(F.length(text_col), F.lit(1)), F.lit(1)).cast("long").alias("n"), F.col(id_col).alias("id"), text_hash.alias("h"))
-    rows = docs.select(F.struct(*kept).alias("row"), own.alias("own")).select("row", "own.*")
-    sums = rows.groupBy("s", "b").agg(F.sum("n").alias("t"))
-    upto = Window.partitionBy("s").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
-    bases = sums.withColumn("base", F.coalesce(F.sum("t").over(upto), F.lit(0).cast("long"))).drop("t")
-    totals = sorted((r["s"], r["t"]) for r in sums.groupBy("s").agg(F.sum("t").alias("t")).limit(MOST_SOURCES + 1).collect())
+    rows = docs.withColumns({source: named, size: F.greatest(F.coalesce(F.length(text_col), F.lit(1)), F.lit(1)).cast("long"), text_hash: F.xxhash64(text_col)})
+    rows = rows.withColumn(bucket, F.pmod(F.xxhash64(F.col(id_col).cast("string"), text_hash), F.lit(buckets)))
+    sums = rows.groupBy(source, bucket).agg(F.sum(size).alias("t"))
+    upto = Window.partitionBy(source).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    bases = sums.withColumn(base, F.coalesce(F.sum("t").over(upto), F.lit(0).cast("long"))).drop("t")
+    totals = sorted((r[source], r["t"]) for r in sums.groupBy(source).agg(F.sum("t").alias("t")).limit(MOST_SOURCES + 1).collect())
     if len(totals) > MOST_SOURCES:
         raise ValueError(f"more than {MOST_SOURCES} sources: give groups of sources one name each")
     whole = sum(t for _, t in totals) or 1
@@ -152,24 +152,29 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, id_col: str =
     schedule = docs.sparkSession.sparkContext.broadcast(Schedule([-(-t // block_chars) for _, t in totals], target, period))  # a number a block
 
     @F.pandas_udf("struct<slot long, phase int>")
-    def placed(source: pd.Series, block: pd.Series) -> pd.DataFrame:
-        slot, phase = np.zeros(len(block), np.int64), np.zeros(len(block), np.int64)
-        for s, at in source.groupby(source).groups.items():
-            slot[at], phase[at] = schedule.value.place(number[s], block.to_numpy()[at])
+    def placed(sources: pd.Series, blocks: pd.Series) -> pd.DataFrame:
+        slot, phase = np.zeros(len(blocks), np.int64), np.zeros(len(blocks), np.int64)
+        for s, at in sources.groupby(sources).groups.items():
+            slot[at], phase[at] = schedule.value.place(number[s], blocks.to_numpy()[at])
         return pd.DataFrame({"slot": slot, "phase": phase.astype(np.int32)})
 
-    inside = Window.partitionBy("s", "b").orderBy("id", "h").rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.join(bases, ["s", "b"]).withColumn("start", F.col("base") + F.coalesce(F.sum("n").over(inside), F.lit(0).cast("long")))
-    rows = rows.withColumn("block", F.floor(F.col("start") / block_chars).cast("long"))
-    rows = rows.withColumn("p", placed("s", "block"))
-    return rows.select("row.*", *[c.alias(n) for n, c in zip(results, (F.col("start"), F.col("block"), F.col("p.phase"), F.col("p.slot")), strict=True)])
+    inside = Window.partitionBy(source, bucket).orderBy(id_col, text_hash).rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.join(bases, [source, bucket]).withColumn(start, F.col(base) + F.coalesce(F.sum(size).over(inside), F.lit(0).cast("long")))
+    rows = rows.withColumn(block, F.floor(F.col(start) / block_chars).cast("long"))
+    rows = rows.withColumn(spot, placed(source, block))
+    return rows.select(*kept, *[c.alias(n) for n, c in zip(results, (F.col(start), F.col(block), F.col(spot)["phase"], F.col(spot)["slot"]), strict=True)])
+
+
+def free_prefix(docs: DataFrame, prefix: str) -> str:
+    """The prefix, longer by as many ``_`` as it takes for no column of docs to begin with it."""
+    while any(c.lower().startswith(prefix) for c in docs.columns):
+        prefix += "_"
+    return prefix
 
 
 def in_order(docs: DataFrame, weights: dict[str, float] | None = None, partitions: int = 200, **how) -> DataFrame:
     """The documents laid out in mixing order: partition after partition, and inside each. All their columns stay as they are."""
-    prefix = "mix_"
-    while any(c.startswith(prefix) for c in docs.columns):
-        prefix += "_"
+    prefix = free_prefix(docs, "mix_")
     slot, start = f"{prefix}slot", f"{prefix}start"
     return mix(docs, weights, prefix=prefix, **how).repartitionByRange(partitions, slot, start).sortWithinPartitions(slot, start).select(*docs.columns)
 
