@@ -37,7 +37,7 @@ def components(edges: DataFrame, a: str, b: str, max_rounds: int = 60) -> DataFr
 
 
 #: Parts that the nodes of a component are dealt over where they get its value back: one component may hold most nodes.
-SALTS = 32
+SALTS = 16
 
 
 def least_of(nodes: DataFrame, roots: DataFrame, value: str) -> DataFrame:
@@ -45,8 +45,9 @@ def least_of(nodes: DataFrame, roots: DataFrame, value: str) -> DataFrame:
     own = nodes.select("node", value).join(roots, "node", "left")
     alone = own.where("root is null").select("node", value)
     linked = own.where("root is not null").withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)))
+    # merged, not broadcast: Spark takes the table for as small as it was before each row became SALTS
     least = linked.groupBy("root").agg(F.min(value).alias("__least")).withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
-    return alone.unionByName(linked.join(least, ["root", "salt"]).select("node", F.col("__least").alias(value)))
+    return alone.unionByName(linked.join(least.hint("merge"), ["root", "salt"]).select("node", F.col("__least").alias(value)))
 
 
 def _digest(e: DataFrame) -> tuple:
