@@ -27,15 +27,18 @@ class HashingEmbedder:
         self.width, self.name = width, f"hashing-{width}"
 
     def encode(self, texts: list[str]) -> np.ndarray:
-        out = np.zeros((len(texts), self.width), np.float32)
+        hashes, row = [], []
         for k, text in enumerate(texts):
-            words = (text or "").lower().split()
-            for term in [*words, *map(" ".join, zip(words, words[1:], strict=False))]:
-                h = zlib.crc32(term.encode())
-                out[k, h % self.width] += 1 if h >> 31 else -1
-            if not out[k].any():
-                out[k, 0] = 1
-        return out / np.linalg.norm(out, axis=1, keepdims=True)
+            words = [w.encode("utf-8", "surrogatepass") for w in (text or "").lower().split()]
+            own = list(map(zlib.crc32, words))
+            pairs = list(map(zlib.crc32, [b" " + w for w in words[1:]], own))  # a pair's checksum goes on from its first word's
+            hashes += own + pairs
+            row += [k] * (len(own) + len(pairs))
+        h, n = np.array(hashes, np.int64), len(texts)
+        cells = np.array(row, np.int64) * self.width + h % self.width
+        out = np.bincount(cells, np.where(h >> 31, 1.0, -1.0), n * self.width).reshape(n, self.width)
+        out[~out.any(axis=1), 0] = 1
+        return (out / np.linalg.norm(out, axis=1, keepdims=True)).astype(np.float32)
 
 
 def embed(make=HashingEmbedder, batch: int = V.ENCODE_BATCH):
