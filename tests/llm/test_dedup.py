@@ -278,6 +278,25 @@ def test_alignment():
     assert substring_dedup.extend(x, x) == 100 and substring_dedup.extend(x, x + 1000) == 0 and substring_dedup.extend(x[:0], x) == 0
 
 
+@pytest.mark.parametrize("rate", [0.05, 0.1, 0.15])
+def test_passages_with_words_added_and_left_out_are_aligned(rate):
+    rng = np.random.default_rng(7)
+    fresh = lambda n: rng.integers(1 << 32, size=n).astype(np.uint32)
+    for _ in range(20):
+        passage = fresh(80)
+        other = []
+        for k, w in enumerate(passage):
+            kind = 3 if 30 <= k < 45 or rng.random() >= rate else int(rng.integers(3))
+            other.extend(([], fresh(1), [w, *fresh(1)], [w])[kind])  # left out, changed, added after, as it was
+        x, y = np.r_[fresh(40), np.array(other, np.uint32), fresh(40)], np.r_[fresh(30), passage, fresh(50)]
+        at = 40 + next(k for k, w in enumerate(other) if w == passage[30])
+        q0, q1, p0, p1, same = substring_dedup.align(x, y, (at, at + 15), (60, 75))
+        assert q1 - q0 >= 50 and same >= 0.8 and 30 <= p0 < p1 <= 110 and q0 <= at and q1 >= at + 15
+        assert substring_dedup.matches(x[q0:q1], y[p0:p1]) >= round(same * max(q1 - q0, p1 - p0))
+        assert substring_dedup.gapped(x, fresh(160), (at, at + 15), 20, 20) is None
+    assert substring_dedup.gapped(x[:0], y, (0, 0), 0, 0) is None
+
+
 def test_passages(spark):
     rng = random.Random(6)
     passage, fuzzy = _prose(rng, 80), _prose(rng, 90)
