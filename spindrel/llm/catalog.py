@@ -17,6 +17,8 @@ OPERATORS = {
     "op8_quality_classifier": "quality_classifier",
     "op9_language_id": "language_id",
     "op10_url_filter": "url_filter",
+    "op11_centroid_clusters": "centroid_clusters",
+    "op12_prefix_trie": "prefix_trie",
 }
 
 

@@ -45,6 +45,17 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(table: DataFrame) -> None:
+    """Delete a table that written() made and that nothing reads any more."""
+    spark = table.sparkSession
+    folders = {p.rsplit("/", 1)[0] for p in table.inputFiles()}
+    for folder in folders:
+        if "/table-" not in folder:
+            raise ValueError(f"not a written table: {folder}")
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def fold(doc_id: str, parts: int):
     """crc32 of the id as text, modulo parts: the fold number that held-out evaluation fixes."""
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % parts
