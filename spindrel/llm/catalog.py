@@ -19,6 +19,7 @@ OPERATORS = {
     "op10_url_filter": "url_filter",
     "op11_centroid_clusters": "centroid_clusters",
     "op12_prefix_trie": "prefix_trie",
+    "op13_toxicity": "toxicity",
 }
 
 
