@@ -26,11 +26,13 @@ text reaches a score, whatever other columns are called.
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -182,6 +184,20 @@ class Model:
     def __init__(self, tables: dict[str, np.ndarray], order: int = ORDER, share: float = SHARE):
         self.tables, self.order, self.share = tables, order, share
         self.slots = np.uint64(len(tables["t"]))
+        self._held = None
+
+    def __getstate__(self) -> dict:
+        """Tables travel compressed: most slots are empty or hold small numbers."""
+        return {"order": self.order, "share": self.share, "tables": {k: zlib.compress(v.tobytes(), 1) for k, v in self.tables.items()}}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__init__({k: np.frombuffer(zlib.decompress(v), np.float32) for k, v in state["tables"].items()}, state["order"], state["share"])
+
+    def on(self, spark: SparkSession) -> Broadcast:
+        """The model on the workers, sent once."""
+        if self._held is None:
+            self._held = spark.sparkContext.broadcast(self)
+        return self._held
 
     def _slot(self, key: np.ndarray) -> np.ndarray:
         return (key % self.slots if int(self.slots) & (int(self.slots) - 1) else key & (self.slots - np.uint64(1))).astype(np.int64)
@@ -293,7 +309,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
 
 def _values(texts: DataFrame, model: Model) -> DataFrame:
-    held = texts.sparkSession.sparkContext.broadcast(model)
+    held = model.on(texts.sparkSession)
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         reader = Reader(held.value)
@@ -310,14 +326,13 @@ def score(docs: DataFrame, model: Model | None, curve: Curve, id_col: str = "doc
     texts = texts_of(docs, id_col, text_col)
     if model is None:
         return docs.select(F.col(id_col), F.lit(float(curve.prior)).alias("score"))
-    held = docs.sparkSession.sparkContext.broadcast((model, curve))
+    held = model.on(docs.sparkSession)
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own, line = held.value
-        reader = Reader(own)
+        reader = Reader(held.value)
         for batch in batches:
             values, n = reader.values(batch.iloc[:, 1].tolist())
-            yield pd.DataFrame({id_col: batch.iloc[:, 0], "score": line.scores(values, n)})
+            yield pd.DataFrame({id_col: batch.iloc[:, 0], "score": curve.scores(values, n)})
 
     return with_id_type(texts.mapInPandas(work, schema), docs, id_col)
 
