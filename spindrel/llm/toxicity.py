@@ -28,7 +28,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from spindrel.llm.common import fold, texts_of, with_id_type, written
+from spindrel.llm.common import discard, fold, texts_of, with_id_type, written
 
 ORDER = 12
 SHARE = 0.005
@@ -50,6 +50,8 @@ THRESHOLD = 0.7
 LONGEST = 40
 #: Words that a worker remembers, words whose symbols it looks at together, and characters it splits at once: bounds on memory.
 KNOWN, _WORDS, _CHARS = 500_000, 50_000, 1 << 20
+#: Orders of the shared model that are counted at once.
+_TOGETHER = 3
 _WORD = re.compile(rf"[^\W_]{{1,{LONGEST}}}")
 _GAP = re.compile(r"[\W_]")
 _BEGIN, _END = "\x02", "\x03"
@@ -100,26 +102,6 @@ class Symbols:
 OWN, OWN_AFTER, SHARED, SHARED_AFTER = range(4)
 
 
-def _sequences(words: pd.DataFrame, order: int) -> pd.DataFrame:
-    """What the distinct words hold: a row a sequence of the classes' models (whole beginnings) with its context and its counts, and a row a
-    sequence of the shared model with what stands before it (before: a hash of the longer sequence, for counting different ones)."""
-    s = Symbols(words["word"].tolist(), order)
-    t, o = words["t"].to_numpy(), words["o"].to_numpy()
-    parts = []
-    for k in range(2, order + 1):
-        at = np.flatnonzero(s.place + 1 == k) if k < order else np.flatnonzero(s.place + 1 >= k)
-        key, first, which = np.unique(s.key(k, at, OWN).view(np.int64), return_index=True, return_inverse=True)
-        sums = [np.bincount(which, c[s.word[at]], len(key)).astype(np.int64) for c in (t, o)]
-        parts.append((OWN, key, s.key(k - 1, at[first] - 1, OWN_AFTER).view(np.int64), np.zeros(len(key), np.int64), *sums))
-    for k in range(1, order):
-        at = np.flatnonzero(s.place >= k)
-        before, first = np.unique(s.key(k + 1, at, SHARED).view(np.int64), return_index=True)
-        at, nothing = at[first], np.zeros(len(before), np.int64)
-        parts.append((SHARED, s.key(k, at, SHARED).view(np.int64), s.key(k - 1, at - 1, SHARED_AFTER).view(np.int64), before, nothing, nothing))
-    kinds = np.repeat([p[0] for p in parts], [len(p[1]) for p in parts])
-    return pd.DataFrame({"kind": kinds} | {name: np.concatenate([p[j] for p in parts]) for j, name in enumerate(("key", "after", "before", "t", "o"), 1)})
-
-
 def count_words(texts: DataFrame) -> DataFrame:
     """word and in how many toxic (t) and ordinary (o) documents it stands. texts: __text, y."""
 
@@ -134,48 +116,87 @@ def count_words(texts: DataFrame) -> DataFrame:
     return texts.select("__text", "y").mapInPandas(work, "word string, t long, o long").groupBy("word").agg(F.sum("t").alias("t"), F.sum("o").alias("o"))
 
 
-def count_sequences(words: DataFrame, order: int = ORDER) -> DataFrame:
-    """kind, key, after and counts c0, c1: of a class's sequence in how many of its documents' words it was seen (toxic, ordinary), of a shared one the different surroundings it was seen in."""
+def _together(words: DataFrame, work: Callable[[pd.DataFrame], Iterator[pd.DataFrame]], schema: str) -> DataFrame:
+    """work over some ten thousands of words at a time."""
 
-    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def some(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, size = [], 0
         for batch in batches:
             held.append(batch)
             size += len(batch)
             if size >= _WORDS:
-                yield _sequences(pd.concat(held, ignore_index=True), order)
+                yield from work(pd.concat(held, ignore_index=True))
                 held, size = [], 0
         if size:
-            yield _sequences(pd.concat(held, ignore_index=True), order)
+            yield from work(pd.concat(held, ignore_index=True))
+
+    return words.mapInPandas(some, schema)
+
+
+def count_own(words: DataFrame, order: int) -> DataFrame:
+    """key, after, c0, c1: a sequence of the classes' models (a word's beginning, or ``order`` symbols), its context, and in how many of the toxic and ordinary documents' words it was seen."""
+
+    def work(own: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        s = Symbols(own["word"].tolist(), order)
+        for k in range(2, order + 1):
+            at = np.flatnonzero(s.place + 1 == k) if k < order else np.flatnonzero(s.place + 1 >= k)
+            key, first, which = np.unique(s.key(k, at, OWN).view(np.int64), return_index=True, return_inverse=True)
+            t, o = (np.bincount(which, own[c].to_numpy()[s.word[at]], len(key)).astype(np.int64) for c in ("t", "o"))
+            yield pd.DataFrame({"key": key, "after": s.key(k - 1, at[first] - 1, OWN_AFTER).view(np.int64), "t": t, "o": o})
+
+    found = _together(words, work, "key long, after long, t long, o long")
+    return found.groupBy("key", "after").agg(F.sum("t").alias("c0"), F.sum("o").alias("c1"))
 
-    found = words.mapInPandas(work, "kind int, key long, after long, before long, t long, o long")
-    different = found.groupBy("kind", "key", "after", "before").agg(F.sum("t").alias("t"), F.sum("o").alias("o"))
-    return different.groupBy("kind", "key", "after").agg(F.when(F.col("kind") == OWN, F.sum("t")).otherwise(F.count(F.lit(1))).alias("c0"), F.when(F.col("kind") == OWN, F.sum("o")).otherwise(F.lit(0)).alias("c1"))
 
+def count_shared(words: DataFrame, orders: range) -> DataFrame:
+    """key, after, c0, c1: a sequence of the shared model, its context, and (as c0) how many different symbols were seen before it."""
 
-def model_tables(sequences: DataFrame, slots: int = SLOTS) -> dict[str, np.ndarray]:
-    """The model as tables of floats by slot. own: what classes saw of a sequence beyond once; after_sum, after_own: of a context all it saw and what of it was seen beyond once; the same of the shared model."""
-    beyond = lambda c: F.greatest(F.col(c) - 1, F.lit(0))
-    rows = sequences.select("kind", "key", "after", "c0", "c1", beyond("c0").alias("e0"), beyond("c1").alias("e1"))
-    slot = lambda c: F.pmod(F.col(c), F.lit(slots)).cast("int")
-    own = rows.where("e0 > 0 or e1 > 0").groupBy("kind", slot("key").alias("slot")).agg(F.sum("e0").alias("v0"), F.sum("e1").alias("v1"), F.lit(0).alias("v2"), F.lit(0).alias("v3"))
-    after = rows.groupBy("kind", "after").agg(*(F.sum(x).alias(x) for x in ("c0", "c1", "e0", "e1"))).where("e0 > 0 or e1 > 0")
-    after = after.groupBy((F.col("kind") + 1).alias("kind"), slot("after").alias("slot")).agg(F.sum("e0").alias("v0"), F.sum("e1").alias("v1"), F.sum("c0").alias("v2"), F.sum("c1").alias("v3"))
+    def work(own: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        s = Symbols(own["word"].tolist(), orders[-1] + 1)
+        for k in orders:
+            at = np.flatnonzero(s.place >= k)
+            before, first = np.unique(s.key(k + 1, at, SHARED).view(np.int64), return_index=True)
+            at = at[first]
+            yield pd.DataFrame({"key": s.key(k, at, SHARED).view(np.int64), "after": s.key(k - 1, at - 1, SHARED_AFTER).view(np.int64), "before": before})
+
+    found = _together(words.select("word"), work, "key long, after long, before long").distinct()
+    return found.groupBy("key", "after").agg(F.count(F.lit(1)).alias("c0"), F.lit(0).cast("long").alias("c1"))
+
+
+#: The tables of a model. Of a sequence: what toxic and ordinary documents, and the shared model, saw of it beyond once; of a context: all that was seen in it, and what of it was seen beyond once.
+_TABLES = {OWN: (("t", "o"), ("at", "ao", "st", "so")), SHARED: (("c", ""), ("ac", "", "sc", ""))}
+
+
+def _fill(tables: dict[str, np.ndarray], kind: int, counts: DataFrame) -> None:
+    """Add a table of counts to the model's tables, by slot; only what was seen beyond once, and contexts that hold such, has a place."""
+    slots = len(tables["t"])
+    rows = counts.withColumns({f"e{y}": F.greatest(F.col(f"c{y}") - 1, F.lit(0)) for y in (0, 1)})
+    slot = lambda c: F.pmod(F.col(c), F.lit(slots)).cast("int").alias("slot")
+    own = rows.where("e0 > 0 or e1 > 0").groupBy(slot("key")).agg(F.sum("e0").alias("v0"), F.sum("e1").alias("v1"), F.lit(0).alias("v2"), F.lit(0).alias("v3"))
+    after = rows.groupBy("after").agg(*(F.sum(x).alias(x) for x in ("c0", "c1", "e0", "e1"))).where("e0 > 0 or e1 > 0")
+    after = after.groupBy(slot("after")).agg(F.sum("e0").alias("v0"), F.sum("e1").alias("v1"), F.sum("c0").alias("v2"), F.sum("c1").alias("v3"))
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for kind, some in batch.groupby("kind"):
-                yield pd.DataFrame({"kind": [kind], "slots": [some["slot"].to_numpy(np.int32).tobytes()], "values": [some[["v0", "v1", "v2", "v3"]].to_numpy(np.float32).tobytes()]})
+            yield pd.DataFrame({"slots": [batch["slot"].to_numpy(np.int32).tobytes()], "values": [batch[["v0", "v1", "v2", "v3"]].to_numpy(np.float32).tobytes()]})
+
+    for names, part in zip(_TABLES[kind], (own, after), strict=True):
+        for r in part.mapInPandas(pack, "slots binary, values binary").collect():  # 20 bytes a slot at most
+            at, values = np.frombuffer(r["slots"], np.int32), np.frombuffer(r["values"], np.float32).reshape(-1, 4)
+            for j, name in enumerate(names):
+                if name:
+                    tables[name][at] += values[:, j]
+
 
-    packed = own.unionByName(after).mapInPandas(pack, "kind int, slots binary, values binary")
-    out = {name: np.zeros(slots, np.float32) for name in ("t", "o", "at", "ao", "st", "so", "c", "ac", "sc")}
-    columns = {OWN: ("t", "o"), OWN_AFTER: ("at", "ao", "st", "so"), SHARED: ("c",), SHARED_AFTER: ("ac", "", "sc")}
-    for r in packed.collect():  # at most a slot's 20 bytes a table
-        at, values = np.frombuffer(r["slots"], np.int32), np.frombuffer(r["values"], np.float32).reshape(-1, 4)
-        for j, name in enumerate(columns[r["kind"]]):
-            if name:
-                out[name][at] = values[:, j]
-    return out
+def learn(words: DataFrame, order: int = ORDER, slots: int = SLOTS) -> dict[str, np.ndarray]:
+    """The tables of a model, from words with their counts t and o. The shared model is counted some orders at a time: what one shuffles is gone before the next."""
+    tables = {name: np.zeros(slots, np.float32) for pair in _TABLES.values() for names in pair for name in names if name}
+    steps = [(OWN, lambda: count_own(words, order)), *((SHARED, lambda k=k: count_shared(words, range(k, min(k + _TOGETHER, order)))) for k in range(1, order, _TOGETHER))]
+    for kind, count in steps:
+        counts = written(count())
+        _fill(tables, kind, counts)
+        discard(counts)
+    return tables
 
 
 class Model:
@@ -301,7 +322,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     if len(of_class) < 2:
         return None, Curve(np.zeros(0), np.zeros(0), np.zeros(0), prior)
     words = written(count_words(texts_of(rows.where(part != 0), "__id", "__text", {"y": F.col("y")})))
-    model = Model(model_tables(written(count_sequences(words, order)), slots), order, share)
+    model = Model(learn(words, order, slots), order, share)
     chosen = rows.where(part == 0).orderBy(F.xxhash64(F.col("__id").cast("string")), "__id", "y", F.xxhash64("__text")).limit(curve_rows)
     sample = _values(texts_of(chosen, "__id", "__text", {"y": F.col("y")}), model).collect()
     sample = sorted((r["value"], r["n"], r["y"]) for r in sample if r["n"])

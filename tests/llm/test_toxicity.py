@@ -60,7 +60,7 @@ def test_likelihoods_are_those_of_plain_dictionaries(spark, order):
         counts[word] = (int(rng.integers(0, 6)) * (word[:2] == "ba"), int(rng.integers(0, 6)))
     counts["idiot"] = (9, 0)
     words = spark.createDataFrame([(w, t, o) for w, (t, o) in counts.items()], "word string, t long, o long").repartition(3)
-    model = toxicity.Model(toxicity.model_tables(toxicity.count_sequences(words, order), 2**22), order)
+    model = toxicity.Model(toxicity.learn(words, order, 2**22), order)
     plain, some = _likelihoods({w: np.array(c) for w, c in counts.items()}, order), [*list(counts)[::3], "idiot", "idiotic", "never", "z", "badob" * 6]
     assert np.allclose(model.ratios(some), [plain(w) for w in some], atol=1e-4)
     assert model.ratios(["idiot"])[0] > 3 and np.allclose(model.gains(some), [math.log(1 - 0.005 + 0.005 * math.exp(plain(w))) for w in some], atol=1e-4)
@@ -68,8 +68,7 @@ def test_likelihoods_are_those_of_plain_dictionaries(spark, order):
 
 def test_few_slots_still_hold_every_sequence(spark):
     words = spark.createDataFrame([(f"w{k % 50}x{k}", 2, 3) for k in range(200)], "word string, t long, o long")
-    found = toxicity.count_sequences(words)
-    wide, narrow = toxicity.model_tables(found, 2**20), toxicity.model_tables(found, 97)
+    wide, narrow = toxicity.learn(words, slots=2**20), toxicity.learn(words, slots=97)
     assert all(wide[k].sum() == narrow[k].sum() for k in ("t", "o", "c")) and np.isfinite(toxicity.Model(narrow).ratios(["w1x1", "other"])).all()
 
 
