@@ -133,9 +133,18 @@ def is_own_host(url) -> Column:
     return F.coalesce(F.lower(F.try_parse_url(_c(url), F.lit("HOST"))).isin(*V.OWN_HOSTS), F.lit(False))
 
 
+def is_direction(vector) -> Column:
+    """Whether a vector has a direction: not null, not zero, all components there and finite."""
+    v = _c(vector)
+    good = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))) & F.exists(v, lambda x: x != 0)
+    return F.coalesce(v.isNotNull() & good, F.lit(False))
+
+
 def cosine(a, b) -> Column:
-    """Dot product of unit vectors, summed in double precision."""
-    return F.aggregate(F.zip_with(_c(a), _c(b), lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
+    """Cosine of two vectors, whatever their lengths, in double precision, rounded to 12 places; null for one without a direction."""
+    dot = lambda u, v: F.aggregate(F.zip_with(u, v, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
+    u, v = _c(a), _c(b)
+    return F.when(is_direction(u) & is_direction(v), F.round(dot(u, v) / F.sqrt(dot(u, u)) / F.sqrt(dot(v, v)), 12))
 
 
 def web_query(message, context: str = "") -> Column:

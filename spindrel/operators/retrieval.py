@@ -1,4 +1,4 @@
-"""Exact nearest-vector retrieval, and what follows from it: a verdict, a route, an answer, a log row."""
+"""Nearest-vector retrieval of a question, and what follows from it: a verdict, a route, an answer, a log row."""
 
 from __future__ import annotations
 
@@ -6,66 +6,21 @@ from collections.abc import Callable
 from time import perf_counter
 from typing import Protocol
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from spindrel.functions import fixed_values as V
 from spindrel.functions import text
+from spindrel.operators.similarity import top_k_batch
 
-#: Questions that go to every task as one matrix, and those of them that a batch of chunks is multiplied with at once: bounds on memory.
-BLOCK_QUESTIONS, AT_ONCE = 8192, 512
 VERDICT = "is_relevant boolean, confidence_score double, reasoning string"
 LOG = "id string, created_at timestamp, workflow_name string, user_query string, llm_model string, embeddings_model string, highest_relevance_score double, is_web_fallback_used boolean, final_response string, latency_ms double, error_log string"
 
 
 def top_k(chunks: DataFrame, question: list[float], k: int = 1, id_col: str = "id", vector: str = "vector") -> DataFrame:
-    """The k chunks most similar to one question; ties by id. Plans as a top-k of each task, then of those."""
+    """The k chunks most similar to one question by cosine; ties by id. Plans as a top-k of each task, then of those."""
     lit = F.array(*[F.lit(float(x)) for x in question])
-    return chunks.withColumn("score", text.cosine(vector, lit)).orderBy(F.desc("score"), id_col).limit(k)
-
-
-def top_k_batch(chunks: DataFrame, questions: DataFrame, k: int = 1, id_col: str = "id", vector: str = "vector", query_id: str = "query_id", query_vector: str = "query_vector", carry: tuple[str, ...] = ()) -> DataFrame:
-    """query_id, id, columns to carry, score, rank: the k best chunks of every question, by exact search.
-
-    Questions go to the tasks as matrices of about BLOCK_QUESTIONS (counted; each block is a scan of its own); a task multiplies its chunks with one a batch
-    at a time and hands on, for each question and batch, what can still be among the k best. No pair is shuffled that can't be.
-    """
-    asked = questions.select(query_id, query_vector)
-    blocks = max(1, -(-asked.count() // BLOCK_QUESTIONS))
-    number = F.pmod(F.xxhash64(query_id, query_vector), F.lit(blocks))
-    scored = None
-    for block in range(blocks):
-        rows = [tuple(r) for r in asked.where(number == block).collect() if r[1] is not None]  # a block's
-        part = _scored(chunks.select(id_col, vector, *carry), asked, rows, k, id_col, query_id)
-        scored = part if scored is None else scored.unionByName(part)
-    order = Window.partitionBy(query_id).orderBy(F.desc("score"), id_col)
-    return scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-
-
-def _scored(chunks: DataFrame, asked: DataFrame, rows: list[tuple], k: int, id_col: str, query_id: str) -> DataFrame:
-    import numpy as np
-    import pandas as pd
-
-    carried = [f for f in chunks.schema if f.name in chunks.columns[2:]]
-    schema = T.StructType([T.StructField(query_id, asked.schema[query_id].dataType), T.StructField(id_col, chunks.schema[id_col].dataType), *carried, T.StructField("score", T.DoubleType())])
-    keys = np.array([q for q, _ in rows], dtype=object)
-    matrix = np.array([v for _, v in rows], np.float64)
-
-    def work(batches):
-        for batch in batches:
-            batch = batch[batch.iloc[:, 1].notna()]
-            if not len(batch) or not len(keys):
-                continue
-            vectors, most = np.stack(batch.iloc[:, 1].to_numpy()).astype(np.float64), min(k, len(batch))
-            rest = batch.drop(columns=batch.columns[1])
-            for a in range(0, len(keys), AT_ONCE):
-                scores = np.round(vectors @ matrix[a : a + AT_ONCE].T, 12)  # equal vectors get equal scores
-                least = -np.partition(-scores, most - 1, axis=0)[most - 1]
-                row, column = np.nonzero(scores >= least)
-                yield rest.iloc[row].assign(**{query_id: keys[a : a + AT_ONCE][column], "score": scores[row, column]})[schema.names]
-
-    return chunks.mapInPandas(work, schema)
+    return chunks.withColumn("score", text.cosine(vector, lit)).where("score is not null").orderBy(F.desc("score"), id_col).limit(k)
 
 
 def parse_verdict(raw):

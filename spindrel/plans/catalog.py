@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-import tempfile
 from collections.abc import Callable
 from uuid import uuid4
 
@@ -13,9 +12,10 @@ from pyspark.sql import functions as F
 from spindrel.functions import chunking, names, pages, people, repair, text
 from spindrel.functions.embedding import embed
 from spindrel.operators import corpus, retrieval, roster, sync
+from spindrel.operators.vector_index import VectorIndex
 from spindrel.plans import examples as X
 from spindrel.plans import site
-from spindrel.session import read_table
+from spindrel.session import read_table, work_folder
 from spindrel.sources import fetch, links
 from spindrel.sources.snapshots import SnapshotTable
 from spindrel.streaming import ingest
@@ -313,9 +313,10 @@ def embed_chunks(spark, d):
 
 
 _DOT = "list_sum(list_transform(list_zip({a}, {b}), lambda x: CAST(x[1] AS DOUBLE) * CAST(x[2] AS DOUBLE)))"
+_COSINE = f"({_DOT} / sqrt({_DOT.replace('{b}', '{a}')}) / sqrt({_DOT.replace('{a}', '{b}')}))"
 
 
-@query(f"""SELECT vec_id, round(score, 6) AS score FROM (SELECT e.vec_id, {_DOT.format(a="e.embedding", b="q.embedding")} AS score FROM embeddings e, (SELECT embedding FROM embeddings WHERE vec_id = 0) q) ORDER BY score DESC, vec_id LIMIT 10""")
+@query(f"""SELECT vec_id, round(score, 6) AS score FROM (SELECT e.vec_id, {_COSINE.format(a="e.embedding", b="q.embedding")} AS score FROM embeddings e, (SELECT embedding FROM embeddings WHERE vec_id = 0) q) ORDER BY score DESC, vec_id LIMIT 10""")
 def vector_topk(spark, d):
     table = read_table(spark, d, "embeddings")
     question = table.where("vec_id = 0").first()["embedding"]
@@ -323,13 +324,37 @@ def vector_topk(spark, d):
 
 
 @query(f"""SELECT query_id, vec_id, round(score, 6) AS score, CAST(rank AS INT) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM (
-  SELECT q.vec_id AS query_id, e.vec_id, {_DOT.format(a="e.embedding", b="q.embedding")} AS score FROM embeddings e, embeddings q WHERE q.vec_id % 100 = 0)) WHERE rank <= 5""")
+  SELECT q.vec_id AS query_id, e.vec_id, {_COSINE.format(a="e.embedding", b="q.embedding")} AS score FROM embeddings e, embeddings q WHERE q.vec_id % 100 = 0)) WHERE rank <= 5""")
 def vector_topk_batch(spark, d):
     table = read_table(spark, d, "embeddings")
     asked = table.where("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query_vector"))
     return retrieval.top_k_batch(table, asked, 5, "vec_id", "embedding").select("query_id", "vec_id", F.round("score", 6).alias("score"), "rank")
 
 
+@query("""WITH v AS (SELECT l_orderkey * 8 + l_linenumber AS id, l_quantity::DOUBLE - 25 AS a, l_extendedprice::DOUBLE / 2000 - 20 AS b, l_discount::DOUBLE * 400 - 20 AS c, l_tax::DOUBLE * 500 - 20 AS d FROM lineitem),
+u AS (SELECT id, a / n AS a, b / n AS b, c / n AS c, d / n AS d FROM (SELECT *, sqrt(a * a + b * b + c * c + d * d) AS n FROM v) WHERE n > 0)
+SELECT query_id, id, round(score, 6) AS score, CAST(rank AS INT) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM (
+  SELECT q.id AS query_id, u.id, round(u.a * q.a + u.b * q.b + u.c * q.c + u.d * q.d, 12) AS score FROM u, u q WHERE q.id % 100 = 0)) WHERE rank <= 3""")
+def similarity_join(spark, d):
+    """The order lines that are most alike, for each whose id is divisible by 100: vectors of any length, questions in any number."""
+    parts = [F.col("l_quantity").cast("double") - 25, F.col("l_extendedprice").cast("double") / 2000 - 20, F.col("l_discount").cast("double") * 400 - 20, F.col("l_tax").cast("double") * 500 - 20]
+    lines = read_table(spark, d, "lineitem").select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("id"), F.array(*parts).alias("vector"))
+    asked = lines.where("id % 100 = 0").toDF("query_id", "query_vector")
+    return retrieval.top_k_batch(lines, asked, 3).select("query_id", "id", F.round("score", 6).alias("score"), "rank")
+
+
+@query()
+def vector_index_topk(spark, d):
+    """The same through a stored index that was made from four fifths of the vectors, some of them others then, and brought in step with the table."""
+    table = read_table(spark, d, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
+    hashed = lambda rows: rows.withColumn("content_hash", F.md5(F.concat_ws(",", F.col("vector").cast("array<string>"))))
+    index = VectorIndex(spark, f"{_work(spark)}/index")
+    index.refresh(hashed(table.where("id % 5 <> 2").withColumn("vector", F.when(F.col("id") % 7 == 0, F.reverse("vector")).otherwise(F.col("vector")))))
+    index.refresh(hashed(table))
+    asked = table.where("id % 100 = 0").toDF("query_id", "query_vector")
+    return index.search(asked, 5).select("query_id", F.col("id").cast("long").alias("vec_id"), F.round("score", 6).alias("score"), "rank")
+
+
 _VERDICT = """CASE event_id % 11 WHEN 0 THEN '{broken' ELSE concat('{"is_relevant": ', CASE WHEN event_id % 3 = 0 THEN 'false' ELSE 'true' END, ', "confidence_score": 0.', CAST(50 + event_id % 50 AS STRING), ', "reasoning": "r"}') END"""
 
 
@@ -340,7 +365,7 @@ def route(spark, d):
     return retrieval.route(rows).select("k", "verdict.is_relevant", "verdict.confidence_score", "route")
 
 
-@query(f"""SELECT query_id, CASE WHEN label IS NOT NULL AND score > 0.75 THEN 'internal' ELSE 'web' END AS route FROM (SELECT q.vec_id AS query_id, max(q.label) AS label, round(max({_DOT.format(a="e.embedding", b="q.embedding")}), 6) AS score
+@query(f"""SELECT query_id, CASE WHEN label IS NOT NULL AND score > 0.75 THEN 'internal' ELSE 'web' END AS route FROM (SELECT q.vec_id AS query_id, max(q.label) AS label, round(max({_COSINE.format(a="e.embedding", b="q.embedding")}), 6) AS score
   FROM embeddings e, embeddings q WHERE q.vec_id % 100 = 0 AND e.vec_id <> q.vec_id GROUP BY q.vec_id)""")
 def route_by_score(spark, d):
     table = read_table(spark, d, "embeddings")
@@ -454,11 +479,7 @@ def _fetch(urls: DataFrame) -> DataFrame:
 
 
 def _work(spark) -> str:
-    """A folder that all executors share, as the session names it; a local one only where none is named."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return named or tempfile.mkdtemp(prefix="spindrel-")
+    return work_folder(spark, "query")
 
 
 def _module_links(spark):

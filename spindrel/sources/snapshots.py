@@ -117,11 +117,16 @@ class SnapshotTable:
         self.replace(self.spark.createDataFrame([], self.schema))
         return True
 
-    def read(self) -> DataFrame:
-        found = self.manifest()
-        if found is None or not found["parts"]:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(*[f"{self.root}/v={v}/b={k}" for k, v in found["parts"].items()])
+    def folders(self, buckets: Iterable[int] | None = None) -> list[str]:
+        """Where the version in force has these buckets (None: all)."""
+        found = self.manifest() or {"parts": {}}
+        wanted = None if buckets is None else {str(k) for k in buckets}
+        return [f"{self.root}/v={v}/b={k}" for k, v in found["parts"].items() if wanted is None or k in wanted]
+
+    def read(self, buckets: Iterable[int] | None = None) -> DataFrame:
+        """The version in force, or these buckets of it: no file of another is opened."""
+        folders = self.folders(buckets)
+        return self.spark.read.schema(self.schema).parquet(*folders) if folders else self.spark.createDataFrame([], self.schema)
 
     def replace(self, rows: DataFrame, touched: Iterable[int] | None = None) -> int:
         """Write rows as the next version, then let readers see it. With ``touched`` they are all rows of these buckets, and the others stay as they are."""
@@ -134,7 +139,7 @@ class SnapshotTable:
             if (self.version() or 0) + 1 != version:
                 raise WriteRefused(f"version {version} was written meanwhile")
             self._files().delete(self._path(f"v={version}"), True)  # what a run that failed has left
-            rows.select(*self.schema.names).withColumn("b", bucket).repartition("b").write.partitionBy("b").parquet(f"{self.root}/v={version}")
+            rows.select(*self.schema.names).withColumn("b", bucket).hint("rebalance", "b").write.partitionBy("b").parquet(f"{self.root}/v={version}")
             old = found["parts"] if found else {}
             gone = None if touched is None else {str(k) for k in touched}
             kept = {} if gone is None else {k: v for k, v in old.items() if k not in gone}

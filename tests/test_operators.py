@@ -249,15 +249,66 @@ def test_top_k_plans(spark):
 
 
 def test_questions_in_blocks(spark, monkeypatch):
+    from spindrel.operators import similarity
+
     table = spark.createDataFrame([(k, [float(k), 20.0 - k], f"t{k}") for k in range(20)], "id int, vector array<float>, text string")
     asked = spark.createDataFrame([(q, [float(q), 1.0]) for q in range(30)] + [(99, None)], "query_id int, query_vector array<float>")
     rows = lambda: sorted(map(tuple, retrieval.top_k_batch(table, asked, 2, carry=("text",)).collect()))
     want = rows()
-    monkeypatch.setattr(retrieval, "BLOCK_QUESTIONS", 7)
-    monkeypatch.setattr(retrieval, "AT_ONCE", 2)
+    for name, size in (("QUESTIONS_A_PART", 7), ("CHUNKS_A_PART", 3), ("AT_ONCE", 2)):
+        monkeypatch.setattr(similarity, name, size)
     assert rows() == want and len(want) == 60 and all(r[2] == f"t{r[1]}" for r in want)
 
 
+def test_similarity_is_the_cosine(spark, monkeypatch):
+    import numpy as np
+
+    from spindrel.operators import similarity
+
+    near = spark.createDataFrame([(1, [3.0, 4.0]), (2, [1.0, 0.0])], "id int, vector array<double>")
+    assert [(r["id"], r["score"]) for r in retrieval.top_k(near, [2.0, 0.0], 2).collect()] == [(2, 1.0), (1, 0.6)]
+    monkeypatch.setattr(similarity, "QUESTIONS_A_PART", 40)
+    monkeypatch.setattr(similarity, "CHUNKS_A_PART", 50)
+    rng, nan = np.random.default_rng(2), float("nan")
+    chunks = [(k, rng.normal(size=5).tolist()) for k in range(200)] + [(k, [1.0, 2.0, 0.0, 0.0, 0.0]) for k in range(300, 400)] + [(500, [1e200, 0.0, 0.0, 0.0, -1e200]), (501, [1.0, 1.0])]
+    odd = [None, [], [0.0] * 5, [nan] * 5, [1.0, None, 0.0, 0.0, 0.0], [float("inf"), 0.0, 0.0, 0.0, 0.0]]
+    asked = [(f"q{k}", (rng.normal(size=5) * 10.0**k).tolist()) for k in range(-60, 60)] + [("copies", [2.0, 4.0, 0.0, 0.0, 0.0])] * 3 + [("copies", [0.0, 0.0, 0.0, 0.0, 1.0]), (None, [1.0, 0.0, 0.0, 0.0, 0.0])] + [(f"odd{k}", v) for k, v in enumerate(odd)]
+    table = spark.createDataFrame([(i, v, "x") for i, v in chunks + [(600 + k, v) for k, v in enumerate(odd)]], "id long, vector array<double>, score string").repartition(3)
+    got = {}
+    for r in retrieval.top_k_batch(table, spark.createDataFrame(asked, "query_id string, query_vector array<double>"), 4).collect():
+        got.setdefault(r["query_id"], {})[r["rank"]] = (r["id"], round(r["score"], 9))
+    want = {}
+    for q, v in {(q, tuple(v)) for q, v in asked if not (q or "").startswith("odd")}:
+        u = np.array(v) / np.linalg.norm(v)
+        for i, c in chunks:
+            if len(c) == 5:
+                w = np.array(c) / max(map(abs, c))
+                want.setdefault(q, []).append((-round(float(u @ w / np.linalg.norm(w)), 12), i))
+    assert got == {q: {n + 1: (i, round(-s, 9)) for n, (s, i) in enumerate(sorted(found)[:4])} for q, found in want.items()}
+    assert [x[0] for x in got["copies"].values()] == [300, 301, 302, 303]
+
+
+def test_questions_are_evaluated_once_in_a_plan_of_one_size(spark, monkeypatch):
+    from spindrel.operators import similarity
+
+    embedded = spark.sparkContext.accumulator(0)
+
+    @F.udf("array<double>")
+    def slow(k):
+        embedded.add(1)
+        return [float(k % 17), 1.0, float(k % 5)]
+
+    table = spark.range(300).select("id", F.array(F.col("id").cast("double"), F.lit(1.0), F.lit(2.0)).alias("vector"))
+    ask = lambda n: spark.range(n).select(F.col("id").alias("query_id"), slow("id").alias("query_vector"))
+    few = retrieval.top_k_batch(table, ask(5), 2)
+    monkeypatch.setattr(similarity, "QUESTIONS_A_PART", 500)
+    embedded.value = 0
+    many = retrieval.top_k_batch(table, ask(20_000), 2)
+    assert many.count() == 40_000 and embedded.value == 20_000
+    size = lambda frame: len([x for x in frame._jdf.queryExecution().analyzed().toString().split("\n") if x.strip()])
+    assert size(few) == size(many)
+
+
 def test_resume(spark):
     urls = spark.createDataFrame([(f"{X.BASE}?pord.pordnr={n}",) for n in (5, 6)] + [("https://e.org/a",)], "url string")
     done = spark.createDataFrame([("modul_p5", "5"), ("modul_xf2cc75f84c57", None)], "doc_id string, pordnr string")
