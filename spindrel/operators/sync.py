@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from spindrel.functions import chunking, text
 from spindrel.functions import fixed_values as V
 from spindrel.functions.embedding import HashingEmbedder, embed
+from spindrel.session import written
 from spindrel.sources.snapshots import SnapshotTable
 
 
@@ -43,33 +44,39 @@ def chunk_rows(documents: DataFrame, content: str = "content") -> DataFrame:
     return each.select(text.chunk_id("url", "chunk_index").alias("id"), "text", "url", "title", "doc_id", "content_hash", "chunk_index", "total_chunks")
 
 
+ACTIONS = ("new", "changed", "unchanged", "blank", "stale", "held")
+
+
 def sync(table: SnapshotTable, incoming: DataFrame, make=HashingEmbedder, ratio: float = V.RECONCILE_RATIO) -> dict:
     """Bring the table in step with incoming (doc_id, content, url, title); counts of what was done.
 
-    Unchanged documents aren't chunked or embedded again, and buckets without a change aren't written. The new version holds all or nothing of the run.
+    Unchanged documents aren't chunked or embedded again. What changes is written once before it is published, so neither a lost executor nor a later step embeds
+    it again, and the counts are observed as it is written. The new version holds all or nothing of the run.
     """
     table.setup()
     model, store = make(), table.read()
-    todo = plan(stored_hashes(store), incoming.select("doc_id", "content"), ratio).persist()
-    try:
-        counts = {r["action"]: r["count"] for r in todo.groupBy("action").count().collect()}
-        fresh = incoming.join(todo.where("action in ('new', 'changed')").select("doc_id"), "doc_id", "left_semi")
-        chunks = chunk_rows(fresh).withColumns({"vector": embed(make)("text"), "model": F.lit(model.name)}).persist()
-        gone = todo.where("action in ('changed', 'stale')").select("doc_id")
-        repeated = chunks.groupBy("id").count().where("count > 1").limit(3).collect()
-        if repeated:
-            raise ValueError(f"documents share chunk ids (one URL for several documents?): {[r['id'] for r in repeated]}")
-        added = chunks.count()
-        if added or counts.get("changed") or counts.get("stale"):
-            taken = store.join(chunks.select("id"), "id", "left_semi").select("doc_id")  # chunks of other documents under an id that is new here
-            touched = gone.unionByName(chunks.select("doc_id")).unionByName(taken).select(table.bucket().alias("b")).distinct()
-            parts = [r["b"] for r in touched.collect()]  # bucket numbers
-            kept = store.where(table.bucket().isin(parts)).join(gone, "doc_id", "left_anti").join(chunks.select("id"), "id", "left_anti")
-            table.replace(kept.unionByName(chunks), parts)
-        chunks.unpersist()
-        return {**{k: counts.get(k, 0) for k in ("new", "changed", "unchanged", "blank", "stale", "held")}, "chunks": added, "points_count": table.read().count()}
-    finally:
-        todo.unpersist()
+    todo, counts = observed(plan(stored_hashes(store), incoming.select("doc_id", "content"), ratio), "plan", {a: F.count_if(F.col("action") == a) for a in ACTIONS})
+    fresh = incoming.join(todo.where("action in ('new', 'changed')").select("doc_id"), "doc_id", "left_semi")
+    chunks, made = observed(chunk_rows(fresh).withColumns({"vector": embed(make)("text"), "model": F.lit(model.name)}), "chunks", {"n": F.count(F.lit(1))})
+    repeated = chunks.groupBy("id").count().where("count > 1").limit(3).collect()
+    if repeated:
+        raise ValueError(f"documents share chunk ids (one URL for several documents?): {[r['id'] for r in repeated]}")
+    if made["n"] or counts["changed"] or counts["stale"]:
+        own = store.select("id", "doc_id")
+        of_documents = own.join(todo.where("action in ('changed', 'stale')").select("doc_id"), "doc_id", "left_semi").select("id", "doc_id")
+        taken = own.join(chunks.select("id"), "id", "left_semi").select("id", "doc_id")  # chunks of other documents under an id that is new here
+        dead, lost = observed(of_documents.unionByName(taken).distinct(), "dead", {"n": F.count(F.lit(1))})
+        points = table.apply(chunks, dead, made["n"], lost["n"])
+    else:
+        points = table.points()
+    return {**counts, "chunks": made["n"], "points_count": points}
+
+
+def observed(rows: DataFrame, name: str, what: dict) -> tuple[DataFrame, dict]:
+    """rows as a written table, and figures that were taken while it was written."""
+    seen = Observation()
+    kept = written(rows.observe(seen, *(c.alias(n) for n, c in what.items())), name)
+    return kept, seen.get
 
 
 def read_documents(spark, folder: str) -> DataFrame:

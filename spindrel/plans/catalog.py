@@ -17,7 +17,7 @@ from spindrel.plans import examples as X
 from spindrel.plans import site
 from spindrel.session import read_table, work_folder
 from spindrel.sources import fetch, links
-from spindrel.sources.snapshots import SnapshotTable
+from spindrel.sources.deltas import DeltaTable
 from spindrel.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -242,8 +242,8 @@ _STORED = _SYNC.replace("WHERE doc_id % 7 <> 3)", "WHERE doc_id % 7 <> 3 AND tri
 
 @query(f"WITH {_STORED} SELECT doc_id, CASE WHEN action IN ('new', 'changed') THEN hash ELSE stored END AS stored FROM p WHERE action <> 'stale' AND NOT (action = 'blank' AND stored IS NULL)")
 def sync_table(spark, d):
-    """A store that is filled, then brought in step with other documents."""
-    table = SnapshotTable(spark, f"{_work(spark)}/kb-{uuid4().hex}")
+    """A store of deltas that is filled, then brought in step with other documents."""
+    table = DeltaTable(spark, f"{_work(spark)}/kb")
     of = lambda k, other: F.when(F.col("doc_id") % k == 0, other).otherwise(F.col("text"))
     sync.sync(table, _documents(spark, d, of(5, F.concat("text", F.lit("x"))), "doc_id % 7 <> 3"))
     sync.sync(table, _documents(spark, d, of(13, F.lit(" ")), "doc_id % 11 <> 4"))
@@ -254,7 +254,7 @@ def sync_table(spark, d):
 def stream_sync(spark, d):
     """The store after a stream of document files, in two runs of which the second finds half of them."""
     folder = f"{_work(spark)}/stream-{uuid4().hex}"
-    table = SnapshotTable(spark, f"{folder}/kb")
+    table = DeltaTable(spark, f"{folder}/kb")
     for part in (0, 1):
         _documents(spark, d, F.col("text"), f"doc_id % 2 = {part}").write.mode("append").json(f"{folder}/in")
         ingest.stream_documents(table, f"{folder}/in", f"{folder}/checkpoint").awaitTermination()

@@ -8,7 +8,8 @@ the same version is refused. Folders that neither the version in force nor the o
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -128,9 +129,10 @@ class SnapshotTable:
         folders = self.folders(buckets)
         return self.spark.read.schema(self.schema).parquet(*folders) if folders else self.spark.createDataFrame([], self.schema)
 
-    def replace(self, rows: DataFrame, touched: Iterable[int] | None = None) -> int:
-        """Write rows as the next version, then let readers see it. With ``touched`` they are all rows of these buckets, and the others stay as they are."""
-        found, bucket = self.manifest(), self.bucket()
+    @contextmanager
+    def _claimed(self) -> Iterator[tuple[int, dict | None]]:
+        """The next version's number and the manifest in force, while no other run writes that version."""
+        found = self.manifest()
         version = (found["version"] if found else 0) + 1
         claim = self._path(f"_claim-{version}")
         if not self._files().createNewFile(claim):
@@ -139,17 +141,31 @@ class SnapshotTable:
             if (self.version() or 0) + 1 != version:
                 raise WriteRefused(f"version {version} was written meanwhile")
             self._files().delete(self._path(f"v={version}"), True)  # what a run that failed has left
-            rows.select(*self.schema.names).withColumn("b", bucket).hint("rebalance", "b").write.partitionBy("b").parquet(f"{self.root}/v={version}")
+            yield version, found
+        finally:
+            self._files().delete(claim, False)
+
+    def replace(self, rows: DataFrame, touched: Iterable[int] | None = None) -> int:
+        """Write rows as the next version, then let readers see it. With ``touched`` they are all rows of these buckets, and the others stay as they are."""
+        with self._claimed() as (version, found):
+            rows.select(*self.schema.names).withColumn("b", self.bucket()).hint("rebalance", "b").write.partitionBy("b").parquet(f"{self.root}/v={version}")
             old = found["parts"] if found else {}
             gone = None if touched is None else {str(k) for k in touched}
             kept = {} if gone is None else {k: v for k, v in old.items() if k not in gone}
             manifest = {"version": version, "buckets": found["buckets"] if found else self._buckets, "parts": kept | {str(k): version for k in self._names(f"v={version}", "b=")}, "before": old}
             self._point(manifest)
             self._sweep(manifest)
-        finally:
-            self._files().delete(claim, False)
         return version
 
+    def apply(self, rows: DataFrame, dead: DataFrame, added: int, removed: int) -> int:
+        """Add rows, take out those whose id is in dead (id and the key), write the buckets that this changes; how many rows there are then."""
+        touched = [r["b"] for r in rows.select(self.key).union(dead.select(self.key)).select(self.bucket().alias("b")).distinct().collect()]  # bucket numbers
+        self.replace(self.read(touched).join(dead.select("id"), "id", "left_anti").select(*self.schema.names).unionByName(rows.select(*self.schema.names)), touched)
+        return self.points()
+
+    def points(self) -> int:
+        return self.read().count()
+
     def clear(self) -> dict:
         """Empty the table; what it was and holds now."""
         existed = self.version() is not None
