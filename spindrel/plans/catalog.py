@@ -331,16 +331,19 @@ def vector_topk_batch(spark, d):
     return retrieval.top_k_batch(table, asked, 5, "vec_id", "embedding").select("query_id", "vec_id", F.round("score", 6).alias("score"), "rank")
 
 
-@query("""WITH v AS (SELECT l_orderkey * 8 + l_linenumber AS id, l_quantity::DOUBLE - 25 AS a, l_extendedprice::DOUBLE / 2000 - 20 AS b, l_discount::DOUBLE * 400 - 20 AS c, l_tax::DOUBLE * 500 - 20 AS d FROM lineitem),
-u AS (SELECT id, a / n AS a, b / n AS b, c / n AS c, d / n AS d FROM (SELECT *, sqrt(a * a + b * b + c * c + d * d) AS n FROM v) WHERE n > 0)
-SELECT query_id, id, round(score, 6) AS score, CAST(rank AS INT) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM (
-  SELECT q.id AS query_id, u.id, round(u.a * q.a + u.b * q.b + u.c * q.c + u.d * q.d, 12) AS score FROM u, u q WHERE q.id % 100 = 0)) WHERE rank <= 3""")
+_LETTERS = "etanioshrdluc"
+
+
+@query(f"""WITH v AS (SELECT doc_id, [{", ".join(f"(length(text) - length(replace(text, '{x}', '')))::DOUBLE" for x in _LETTERS)}] AS v FROM documents WHERE text IS NOT NULL),
+u AS (SELECT doc_id, list_transform(v, lambda x: x / n) AS v FROM (SELECT doc_id, v, sqrt(list_sum(list_transform(v, lambda x: x * x))) AS n FROM v) WHERE n > 0)
+SELECT query_id, doc_id, round(score, 6) AS score, CAST(rank AS INT) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM (
+  SELECT q.doc_id AS query_id, u.doc_id, round(list_dot_product(u.v, q.v), 12) AS score FROM u, u q WHERE q.doc_id % 100 = 0)) WHERE rank <= 3""")
 def similarity_join(spark, d):
-    """The order lines that are most alike, for each whose id is divisible by 100: vectors of any length, questions in any number."""
-    parts = [F.col("l_quantity").cast("double") - 25, F.col("l_extendedprice").cast("double") / 2000 - 20, F.col("l_discount").cast("double") * 400 - 20, F.col("l_tax").cast("double") * 500 - 20]
-    lines = read_table(spark, d, "lineitem").select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("id"), F.array(*parts).alias("vector"))
-    asked = lines.where("id % 100 = 0").toDF("query_id", "query_vector")
-    return retrieval.top_k_batch(lines, asked, 3).select("query_id", "id", F.round("score", 6).alias("score"), "rank")
+    """The documents whose letters are most alike, for each whose id is divisible by 100: vectors of any length."""
+    count = lambda x: (F.length("text") - F.length(F.replace("text", F.lit(x)))).cast("double")
+    docs = read_table(spark, d, "documents").where("text is not null").select("doc_id", F.array(*map(count, _LETTERS)).alias("vector"))
+    asked = docs.where("doc_id % 100 = 0").toDF("query_id", "query_vector")
+    return retrieval.top_k_batch(docs, asked, 3, id_col="doc_id").select("query_id", "doc_id", F.round("score", 6).alias("score"), "rank")
 
 
 @query()
