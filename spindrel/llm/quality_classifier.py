@@ -4,7 +4,7 @@ A document is a bag of terms. A term is a word's shape (length, letter case, wha
 text (new, seen before, or equal to the word before it), or a hash bucket of the word itself. Weights are log counts times inverse document
 frequency; a truncated singular value decomposition of the labelled sample gives the latent axes. The labelled vectors (at most
 ``SAMPLE`` of ``AXES`` floats, so under 1 MB) go to every worker, which takes exact cosines of its documents against all of them, a block
-of documents at a time as one matrix product. The ``NEIGHBOURS`` most similar ones vote with the weight of their similarity.
+of documents at a time as one matrix product. The ``NEIGHBOURS`` most similar ones vote with the fourth power of their similarity as weight (none if it is negative).
 
 ``SAMPLE`` bounds the fit alone: the labelled documents with the smallest id hashes outside the held-out fold. Every text is scored whole.
 
