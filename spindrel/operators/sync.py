@@ -50,14 +50,15 @@ ACTIONS = ("new", "changed", "unchanged", "blank", "stale", "held")
 def sync(table: SnapshotTable, incoming: DataFrame, make=HashingEmbedder, ratio: float = V.RECONCILE_RATIO) -> dict:
     """Bring the table in step with incoming (doc_id, content, url, title); counts of what was done.
 
-    Unchanged documents aren't chunked or embedded again. What changes is written once before it is published, so neither a lost executor nor a later step embeds
-    it again, and the counts are observed as it is written. The new version holds all or nothing of the run.
+    Unchanged documents aren't chunked or embedded again. The plan, the changed chunks and the ids that go are written before anything is published, and the counts are
+    observed as they are written; chunks are embedded as the new version is. It holds all or nothing of the run.
     """
     table.setup()
     model, store = make(), table.read()
     todo, counts = observed(plan(stored_hashes(store), incoming.select("doc_id", "content"), ratio), "plan", {a: F.count_if(F.col("action") == a) for a in ACTIONS})
     fresh = incoming.join(todo.where("action in ('new', 'changed')").select("doc_id"), "doc_id", "left_semi")
-    chunks, made = observed(chunk_rows(fresh).withColumns({"vector": embed(make)("text"), "model": F.lit(model.name)}), "chunks", {"n": F.count(F.lit(1))})
+    # chunks are written before they are embedded: workers that split and workers that embed aren't in memory together, and what is refused isn't embedded
+    chunks, made = observed(chunk_rows(fresh), "chunks", {"n": F.count(F.lit(1))})
     repeated = chunks.groupBy("id").count().where("count > 1").limit(3).collect()
     if repeated:
         raise ValueError(f"documents share chunk ids (one URL for several documents?): {[r['id'] for r in repeated]}")
@@ -66,7 +67,7 @@ def sync(table: SnapshotTable, incoming: DataFrame, make=HashingEmbedder, ratio:
         of_documents = own.join(todo.where("action in ('changed', 'stale')").select("doc_id"), "doc_id", "left_semi").select("id", "doc_id")
         taken = own.join(chunks.select("id"), "id", "left_semi").select("id", "doc_id")  # chunks of other documents under an id that is new here
         dead, lost = observed(of_documents.unionByName(taken).distinct(), "dead", {"n": F.count(F.lit(1))})
-        points = table.apply(chunks, dead, made["n"], lost["n"])
+        points = table.apply(chunks.withColumns({"vector": embed(make)("text"), "model": F.lit(model.name)}), dead, made["n"], lost["n"])
     else:
         points = table.points()
     return {**counts, "chunks": made["n"], "points_count": points}
