@@ -122,18 +122,20 @@ def deal(rows: DataFrame, keys: list[str], by: str, most: int) -> DataFrame:
 
 def by_group(batches, keys: list[str], work):
     """Apply work to the rows of whole groups, from batches sorted by the keys; several small groups may come in one call."""
-    held = None
+    held: list[pd.DataFrame] = []
     for batch in batches:
-        held = batch if held is None else pd.concat([held, batch], ignore_index=True)
-        last = np.ones(len(held), bool)
+        if not len(batch):
+            continue
+        differ = np.zeros(len(batch), bool)
         for k in keys:
-            last &= (held[k] == held[k].iloc[-1]).to_numpy()
-        done = len(held) - (len(held) if last.all() else int(last[::-1].argmin()))
-        if done:
-            yield work(held.iloc[:done].reset_index(drop=True))
-            held = held.iloc[done:].reset_index(drop=True)
-    if held is not None and len(held):
-        yield work(held)
+            differ |= (batch[k] != batch[k].iloc[-1]).to_numpy()
+        begin = len(batch) - int(differ[::-1].argmax()) if differ.any() else 0  # of the last group, which may go on
+        if begin or (held and any(held[-1][k].iloc[-1] != batch[k].iloc[0] for k in keys)):
+            yield work(pd.concat([*held, batch.iloc[:begin]], ignore_index=True))
+            held = []
+        held.append(batch.iloc[begin:])
+    if held:
+        yield work(pd.concat(held, ignore_index=True))
 
 
 def group_numbers(rows: pd.DataFrame, keys: list[str]) -> np.ndarray:

@@ -367,10 +367,44 @@ def test_passages_whose_phrases_earlier_documents_hold_keep_their_partner(spark,
     for hot in (substring_dedup.HOT, 1):
         monkeypatch.setattr(substring_dedup, "HOT", hot)
         found = {(r["doc_id"], r["partner"]) for r in substring_dedup.passages(table).collect()}
-        if hot > 1:
-            assert found == {(9000 + n, 5000 + n) for n in range(12)}
-        else:  # dealt over parts, each seed still has its first holder
-            assert found <= {(9000 + n, 5000 + n) for n in range(12)}
+        assert found == {(9000 + n, 5000 + n) for n in range(12)}
+
+
+@pytest.mark.parametrize("between", [4, 50])
+def test_phrases_that_documents_between_share_hide_no_partner(spark, monkeypatch, between):
+    rng = random.Random(between)
+    words = [f"v{k}" for k in range(50_000)]
+    rows = []
+    for n in range(10):
+        passage = rng.choices(words, k=56)
+        edited = [w if j % 12 != 7 else "new" for j, w in enumerate(passage)]
+        rows += [(n, " ".join(rng.choices(words, k=30) + passage)), (90_000 + n, " ".join(edited + rng.choices(words, k=30)))]
+        for d in range(between):  # each has some phrases of twelve words, with words of its own between them
+            phrases = [w for j in range(0, 56, 12) for w in [*passage[j : j + 12], *rng.choices(words, k=15)]]
+            rows.append((1000 + 100 * n + d, " ".join(phrases)))
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    due = {(90_000 + n, n) for n in range(10)}
+    both = []
+    for hot in (substring_dedup.HOT, 1, 7):
+        monkeypatch.setattr(substring_dedup, "HOT", hot)
+        both.append(sorted(map(tuple, substring_dedup.passages(table).distinct().collect())))
+        assert {(r[0], r[3]) for r in both[-1] if r[0] >= 90_000} == due
+    assert both[0] == both[1] == both[2]
+
+
+def test_groups_of_sorted_batches():
+    import pandas as pd
+
+    rng = random.Random(2)
+    for most in (1, 4, 40):
+        rows = pd.DataFrame({"g": np.repeat(np.arange(30), [rng.randrange(1, most + 1) for _ in range(30)])})
+        rows["v"] = np.arange(len(rows))
+        cuts = sorted(rng.choices(range(len(rows)), k=12))
+        parts = [rows.iloc[a:b] for a, b in zip([0, *cuts], [*cuts, len(rows)], strict=True)]
+        calls = list(common.by_group(iter(parts), ["g"], lambda own: own))
+        assert pd.concat(calls)["v"].tolist() == rows["v"].tolist()
+        assert sum(own["g"].nunique() for own in calls) == 30
+    assert list(common.by_group(iter([]), ["g"], lambda own: own)) == []
 
 
 def test_cover_takes_no_words_that_are_new(spark):
