@@ -385,8 +385,9 @@ def test_phrases_that_documents_between_share_hide_no_partner(spark, monkeypatch
     table = spark.createDataFrame(rows, "doc_id long, text string")
     due = {(90_000 + n, n) for n in range(10)}
     both = []
-    for hot in (substring_dedup.HOT, 1, 7):
+    for hot, few in ((substring_dedup.HOT, substring_dedup.FEW), (1, substring_dedup.FEW), (7, 0)):
         monkeypatch.setattr(substring_dedup, "HOT", hot)
+        monkeypatch.setattr(substring_dedup, "FEW", few)
         both.append(sorted(map(tuple, substring_dedup.passages(table).distinct().collect())))
         assert {(r[0], r[3]) for r in both[-1] if r[0] >= 90_000} == due
     assert both[0] == both[1] == both[2]
