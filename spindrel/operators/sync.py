@@ -80,9 +80,14 @@ def observed(rows: DataFrame, name: str, what: dict) -> tuple[DataFrame, dict]:
     return kept, seen.get
 
 
-def read_documents(spark, folder: str) -> DataFrame:
-    """(doc_id, content, url, title) of a folder of JSON documents; files that can't be read keep their name as id and null content."""
+_OWN_ID = r'"doc_id"\s*:\s*"([^"\\]+)"'
+
+
+def read_documents(spark, folder: str, lines: bool = False) -> DataFrame:
+    """(doc_id, content, url, title) of a folder of JSON documents, a file each, or with ``lines`` any number a file, a line each. What can't be read has null content, and as id the
+    file's name; a line the id that it still shows."""
     schema = "doc_id string, content_markdown string, metadata struct<url:string,title:string>, _corrupt_record string"
-    rows = spark.read.schema(schema).option("multiLine", True).option("columnNameOfCorruptRecord", "_corrupt_record").option("pathGlobFilter", "*.json").json(folder)
+    rows = spark.read.schema(schema).option("multiLine", not lines).option("columnNameOfCorruptRecord", "_corrupt_record").option("pathGlobFilter", "*.json").json(folder)
+    shown = [text.first_group("_corrupt_record", _OWN_ID)] if lines else []
     name = F.regexp_replace(F.col("_metadata.file_name"), r"\.json$", "")
-    return rows.select(F.coalesce("doc_id", name).alias("doc_id"), F.when(F.col("_corrupt_record").isNull(), F.coalesce("content_markdown", F.lit(""))).alias("content"), F.col("metadata.url").alias("url"), F.col("metadata.title").alias("title"))
+    return rows.select(F.coalesce("doc_id", *shown, name).alias("doc_id"), F.when(F.col("_corrupt_record").isNull(), F.coalesce("content_markdown", F.lit(""))).alias("content"), F.col("metadata.url").alias("url"), F.col("metadata.title").alias("title"))
