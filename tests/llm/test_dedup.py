@@ -393,6 +393,41 @@ def test_phrases_that_documents_between_share_hide_no_partner(spark, monkeypatch
     assert both[0] == both[1] == both[2]
 
 
+def test_partners_that_only_frequent_phrases_name_are_found(spark, monkeypatch):
+    rng = random.Random(21)
+    words = [f"v{k}" for k in range(50_000)]
+    pool = [rng.choices(words, k=10) for _ in range(40)]
+    line = rng.choices(words, k=30)
+    rows = [(k, " ".join(w for phrase in rng.sample(pool, 8) for w in [*phrase, *rng.choices(words, k=25)])) for k in range(0, 400, 2)]
+    rows += [(k, " ".join(rng.choices(words, k=80) + line + rng.choices(words, k=80))) for k in range(1, 120, 2)]  # a line that is no passage by itself
+    due = set()
+    for n in range(5):
+        phrases = rng.sample(pool, 6)
+        for d in (251 + 20 * n, 9000 + n):  # the earlier one is neither first nor near
+            rows.append((d, " ".join(rng.choices(words, k=40) + [w for phrase in phrases for w in [*phrase, rng.choice(words)]] + rng.choices(words, k=40))))
+        tail = rng.choices(words, k=30)
+        for d in (51 + 2 * n + 1000, 9100 + n):  # beside the line every other word is equal, or nearly
+            rows.append((d, " ".join(rng.choices(words, k=40) + line + [w if j % 4 else rng.choice(words) for j, w in enumerate(tail)] + rng.choices(words, k=40))))
+        due |= {(9000 + n, 251 + 20 * n), (9100 + n, 1051 + 2 * n)}
+    table, found = spark.createDataFrame(rows, "doc_id long, text string"), []
+    for hot, block in ((substring_dedup.HOT, substring_dedup.BLOCK), (1, 7)):
+        monkeypatch.setattr(substring_dedup, "HOT", hot)
+        monkeypatch.setattr(substring_dedup, "BLOCK", block)
+        found.append(sorted(map(tuple, substring_dedup.passages(table).distinct().collect())))
+        assert {(r[0], r[3]) for r in found[-1]} == due
+    assert found[0] == found[1]
+
+
+def test_sets_of_bits_lose_no_common_words():
+    rng = np.random.default_rng(5)
+    texts = [rng.integers(0, 60, rng.integers(1, 190)).astype(np.uint32) for _ in range(60)]
+    sets, lost = substring_dedup._bits(texts)
+    for i, x in enumerate(texts):
+        for j, y in enumerate(texts):
+            common = sum(min(int((x == w).sum()), int((y == w).sum())) for w in np.unique(x))
+            assert np.bitwise_count(sets[i] & sets[j]).sum() >= common - lost[i]
+
+
 def test_groups_of_sorted_batches():
     import pandas as pd
 
