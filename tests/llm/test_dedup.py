@@ -418,6 +418,11 @@ def test_partners_that_only_frequent_phrases_name_are_found(spark, monkeypatch):
     assert found[0] == found[1]
 
 
+def test_a_text_that_repeats_itself_has_no_passage(spark):
+    table = spark.createDataFrame([(1, "a b c d e f g h " * 40), (2, "i j k l m n")], "doc_id long, text string")
+    assert substring_dedup.passages(table).count() == 0
+
+
 def test_sets_of_bits_lose_no_common_words():
     rng = np.random.default_rng(5)
     texts = [rng.integers(0, 60, rng.integers(1, 190)).astype(np.uint32) for _ in range(60)]
