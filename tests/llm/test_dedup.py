@@ -433,6 +433,30 @@ def test_sets_of_bits_lose_no_common_words():
             assert np.bitwise_count(sets[i] & sets[j]).sum() >= common - lost[i]
 
 
+def test_many_pairs_are_aligned_at_once_as_one_by_one():
+    rng, pairs = np.random.default_rng(9), []
+    for _ in range(80):  # of many lengths, so that batches are padded, with words changed, added and left out
+        x = rng.integers(1 << 32, size=rng.integers(1, 260)).astype(np.uint32)
+        y = np.delete(np.where(rng.random(len(x)) < 0.15, rng.integers(1 << 32, size=len(x)), x), rng.integers(0, len(x), 3)).astype(np.uint32)
+        at = int(rng.integers(0, len(x)))
+        pairs.append((x, y, (at, min(at + 12, len(x))), (max(0, at - 2), max(0, at - 2) + 12)))
+    assert substring_dedup.align_all(pairs) == [substring_dedup.align(*p) for p in pairs]
+    most = substring_dedup.matches_all([p[:2] for p in pairs])
+    wide = [(x, y, own, other[0] - own[0], other[0] - own[0] + k % 7) for k, (x, y, own, other) in enumerate(pairs)]
+    may = substring_dedup.possible_all(wide)
+    assert may.any() and not may.all()
+    for k, (x, y, own, least, last) in enumerate(wide):
+        low, high = min(0, len(y) - len(x)) - substring_dedup.BAND, max(0, len(y) - len(x)) + substring_dedup.BAND
+        best = np.zeros((len(x) + 1, len(y) + 1), int)
+        for i, w in enumerate(x):
+            for j in range(len(y)):
+                best[i + 1, j + 1] = max(best[i, j + 1], best[i + 1, j], best[i, j] + (w == y[j] and low <= j - i <= high))
+        assert most[k] == best[-1, -1]
+        lanes = range(least - substring_dedup.BAND, last + substring_dedup.BAND + 1)
+        s, e, _ = substring_dedup.dense(np.array([any(0 <= i + d < len(y) and y[i + d] == w for d in lanes) for i, w in enumerate(x)]), *own)
+        assert may[k] == (e - s >= substring_dedup.MIN_WORDS)
+
+
 def test_groups_of_sorted_batches():
     import pandas as pd
 
@@ -445,6 +469,9 @@ def test_groups_of_sorted_batches():
         calls = list(common.by_group(iter(parts), ["g"], lambda own: own))
         assert pd.concat(calls)["v"].tolist() == rows["v"].tolist()
         assert sum(own["g"].nunique() for own in calls) == 30
+        calls = list(common.by_group(iter(parts), ["g"], lambda own: own, 25))
+        assert pd.concat(calls)["v"].tolist() == rows["v"].tolist() and all(len(own) >= 25 for own in calls[:-1])
+        assert sum(own["g"].nunique() for own in calls) == 30
     assert list(common.by_group(iter([]), ["g"], lambda own: own)) == []
 
 
