@@ -418,6 +418,25 @@ def test_partners_that_only_frequent_phrases_name_are_found(spark, monkeypatch):
     assert found[0] == found[1]
 
 
+def test_bounds_on_frequent_seeds_lose_no_passage(spark, monkeypatch):
+    rng = random.Random(31)
+    words = [f"v{k}" for k in range(50_000)]
+    pool, rows = [rng.choices(words, k=k) for k in (6, 8, 10, 13, 20) * 5], []
+    for k in range(500):  # texts of common phrases with few words between, some with a part of an earlier one, a tenth of its words changed
+        text = [w for phrase in rng.sample(pool, 9) for w in [*phrase, *rng.choices(words, k=rng.choice((1, 3, 30)))]]
+        if k % 4 == 3:
+            part = rng.choice(rows)[1].split()[:90]
+            text[40:40] = [rng.choice(words) if rng.random() < 0.1 else w for w in part]
+        rows.append((k, " ".join(text)))
+    table, held = spark.createDataFrame(rows, "doc_id long, text string"), []
+    for rare in (substring_dedup.RARE, 100_000):  # with the bounds, and each seed with all earlier ones
+        monkeypatch.setattr(substring_dedup, "RARE", rare)
+        held.append({(r["doc_id"], k) for r in substring_dedup.passages(table).collect() for k in range(r["start"], r["end"])})
+    lost = held[1] - held[0]  # where alignment ends depends on where it begins, by some words
+    assert len(held[1]) > 5000 and len(lost) < 0.002 * len(held[1])
+    assert all(any((d, k + j) in held[0] for j in range(-substring_dedup.K, substring_dedup.K + 1)) for d, k in lost)
+
+
 def test_a_text_that_repeats_itself_has_no_passage(spark):
     table = spark.createDataFrame([(1, "a b c d e f g h " * 40), (2, "i j k l m n")], "doc_id long, text string")
     assert substring_dedup.passages(table).count() == 0
