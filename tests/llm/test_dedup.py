@@ -476,6 +476,42 @@ def test_many_pairs_are_aligned_at_once_as_one_by_one():
         assert may[k] == (e - s >= substring_dedup.MIN_WORDS)
 
 
+def _places(groups):
+    """Rows of _against(): for each group (its cell) and place (id, word, words of the text) 20 words there that hold a joint seed of the group."""
+    import pandas as pd
+
+    rows = [{"home": 0, "cell": cell, "p": 0, "q": 0, "side": -1, "id": key, "s": at - 64, "d0": at, "d1": at, "q0": at, "q1": at + 20, "late": key > 1, "words": np.array(words[at - 64 : at + 84], np.uint32).tobytes()} for cell, places in groups for key, at, words in places]
+    return pd.DataFrame(rows).sort_values(["cell", "id"], kind="stable").reset_index(drop=True)
+
+
+def test_places_with_the_same_words_are_aligned_once(monkeypatch):
+    first, second, third = (list(range(k, k + 10)) for k in (100, 200, 300))
+    x, y = (first + second + third) * 12, (second + first + third) * 12  # every word stands near, two in three in order
+    asked = []
+    align_all = substring_dedup.align_all
+    monkeypatch.setattr(substring_dedup, "align_all", lambda pairs: asked.extend(pairs) or align_all(pairs))
+    assert substring_dedup._against(_places([(0, [(key, 70 + 30 * k, words) for key, words in ((1, x), (2, y)) for k in range(6)])])) == []
+    assert 0 < len(asked) <= 2
+
+
+def test_what_a_group_finds_hangs_on_no_other_group():
+    rng = random.Random(8)
+    x = [rng.randrange(10**9) for _ in range(300)]
+    y = [rng.randrange(10**9) if k % 9 == 0 else w for k, w in enumerate(x)]
+    groups = [(cell, [(1, at, x), (2, at, y)]) for cell, at in ((0, 80), (1, 80), (2, 150))]
+    alone = [substring_dedup._against(_places([g])) for g in groups]
+    assert all(alone)
+    assert sorted(substring_dedup._against(_places(groups))) == sorted(row for rows in alone for row in rows)
+    assert substring_dedup._against(_places([(0, [(1, 80, x), (2, 80, x[::-1])])])) == []
+
+
+def test_seeds_of_many_texts_are_those_of_each():
+    rng = random.Random(9)
+    words = [np.array([rng.randrange(most) for _ in range(size)], np.uint64) for size in [*range(12), *(rng.randrange(150) for _ in range(100))] for most in (2, 1000)]
+    want = [(k, int(h[at].view(np.int64)), int(at), n) for k, h in enumerate(map(substring_dedup.k_mers, words)) for n, at in enumerate(substring_dedup.minimizers(h))]
+    assert list(substring_dedup._seeds_of(np.arange(len(words)), words).itertuples(index=False, name=None)) == want
+
+
 def test_groups_of_sorted_batches():
     import pandas as pd
 
